@@ -43,21 +43,20 @@ def stalled_worker_stream(
     limit_us = int(timeout * 1_000_000)
 
     def watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        for pdf in batches:
-            newest = int(pdf["last_seen_us"].max())
-            last = newest if last is None else max(last, newest)
-        if last is None:
+        known = state.get[0] if state.exists else None
+        newest = [int(pdf["last_seen_us"].max()) for pdf in batches if len(pdf)]
+        if known is None and not newest:
             return
+        last = max(newest if known is None else [known, *newest])
         silent_us = int(clock() * 1_000_000) - last
         stalled = silent_us > limit_us
-        if stalled and state.hasTimedOut:
+        if stalled:
             state.remove()
         else:
             state.update((last,))
-            if not stalled:
-                state.setTimeoutDuration(max(1, (limit_us - silent_us) // 1000 + 1))
-        yield pd.DataFrame({"worker": [key[0]], "last_seen_us": [last], "stalled": [stalled]})
+            state.setTimeoutDuration(max(1, (limit_us - silent_us) // 1000 + 1))
+        if stalled or newest:
+            yield pd.DataFrame({"worker": [key[0]], "last_seen_us": [last], "stalled": [stalled]})
 
     seen = F.unix_micros(F.col("last_seen").cast("timestamp"))
     partial = heartbeats.select(F.col("worker").cast("string").alias("worker"), seen.alias("last_seen_us"))
@@ -87,7 +86,8 @@ def periodic_check(
 ):
     """Run :func:`stalled_worker_stream` every ``period`` seconds into Parquet.
 
-    ``once`` handles what is there now and stops.
+    ``once`` handles what is there now in a single micro-batch and stops; the
+    available-now trigger would not, because pending timers keep asking for batches.
     """
     writer = (
         stalled_worker_stream(heartbeats, timeout, clock)
@@ -96,5 +96,5 @@ def periodic_check(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    trigger = {"availableNow": True} if once else {"processingTime": f"{int(period * 1000)} milliseconds"}
+    trigger = {"once": True} if once else {"processingTime": f"{int(period * 1000)} milliseconds"}
     return writer.trigger(**trigger).start()
