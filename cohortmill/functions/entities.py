@@ -30,8 +30,14 @@ def session_of(path: Column) -> Column:
     return _part(path, r"(?:^|[/_])ses-([^/_.]+)")
 
 
+def _file_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
+
+
 def datatype_of(path: Column) -> Column:
-    return _part(path, rf"(?:^|/)({'|'.join(DATATYPES)})/[^/]*$")
+    """The folder the file lies in, if it is one of the known data types."""
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(folder.isin(*DATATYPES), folder)
 
 
 def entity_of(path: Column, key: str) -> Column:
@@ -40,12 +46,18 @@ def entity_of(path: Column, key: str) -> Column:
 
 
 def suffix_of(path: Column) -> Column:
-    return _part(path, r"(?:^|[_/])([^/_.-]+)\.[^/]*$")
+    """The last ``_`` part before the first dot; null when it is a ``key-value``."""
+    name = _file_name(path)
+    last = F.substring_index(F.substring_index(name, ".", 1), "_", -1)
+    plain = (F.instr(name, ".") > 0) & (F.instr(last, "-") == 0) & (last != "")
+    return F.when(plain, last)
 
 
 def extension_of(path: Column) -> Column:
     """Everything after the first dot of the file name, without the dot."""
-    return _part(path, r"(?:^|/)[^/.]+\.([^/]+)$")
+    name = _file_name(path)
+    dot = F.instr(name, ".")
+    return F.when((dot > 1) & (dot < F.length(name)), F.substr(name, dot + 1))
 
 
 def parse_entities(df: DataFrame, path: str = "path") -> DataFrame:
