@@ -131,12 +131,10 @@ def found_derivatives(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) ->
     k = F.array_position(F.array(*[F.lit(n) for n in names]), base).cast("int") - 1
     turn = F.col("subject").cast("bigint") + k
     path = derivative_path(F.col("subject"), F.col("folder"), F.col("tail"))
-    plain = F.regexp_replace(path, r"\.gz$", "")
-    return (
-        expand_spaces(deriv_subjects(spark, sf_dir), spec, SPACES)
-        .filter(turn % 7 != 0)
-        .select(F.when(turn % 5 == 0, plain).otherwise(path).alias("path"))
-    )
+    there = F.when(turn % 5 == 0, F.regexp_replace(path, r"\.gz$", "")).otherwise(path)
+    found = expand_spaces(deriv_subjects(spark, sf_dir), spec, SPACES).filter(turn % 7 != 0)
+    # As in study_files: parsed parts read the finished path instead of repeating its text.
+    return found.select(F.inline(F.array(F.struct(there.alias("path")))))
 
 
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortmill.functions.tasks import task_name
-from cohortmill.operators.ledgers import skip_done
 from cohortmill.session import materialise
 
 RAISED_RETURN_CODE = -1
+# Results held in a worker before they are passed on; captured logs may be large.
+FLUSH_ROWS = 1_000
+FLUSH_CHARACTERS = 4_000_000
 
 
 class TaskResult(NamedTuple):
@@ -82,7 +84,11 @@ def run_items(
         for x in structs.get(name, [name])
     ]
     sent = items.select("task_name", *flat)
-    sent = sent.repartition(partitions, "task_name") if partitions else sent.repartition("task_name")
+    # An explicit count, because adaptive execution would merge small-looking partitions
+    # and a few bytes of item may be hours of work.
+    spark = items.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    sent = sent.repartition(partitions or tasks, "task_name")
 
     def call(args: dict) -> TaskResult:
         try:
@@ -97,12 +103,17 @@ def run_items(
         return result
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, text = [], 0
         for batch in batches:
-            rows = []
             for item in batch.to_pylist():
                 name = item.pop("task_name")
                 result = call({key.removeprefix("arg_"): value for key, value in item.items()})
                 rows.append({"task_name": name, **result._asdict()})
+                text += len(result.stdout or "") + len(result.stderr or "")
+                if len(rows) >= FLUSH_ROWS or text >= FLUSH_CHARACTERS:
+                    yield pa.RecordBatch.from_pylist(rows, schema=RESULT_ARROW)
+                    rows, text = [], 0
+        if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=RESULT_ARROW)
 
     return sent.mapInArrow(run, RESULT_SCHEMA)
@@ -118,21 +129,22 @@ def apply_batch(
 ) -> DataFrame:
     """Outcome of every item: finished ones from the ledger, the others run now.
 
-    The results are written once to the shared folder and read back, so using the
-    returned frame several times does not run ``fn`` again. ``cached`` tells items
-    the ledger already had.
+    ``ledger`` is the current view, one row per task. Items are first written with
+    what the ledger says of them, so one moment decides what runs even while others
+    record. Results are written once and read back, so using the returned frame
+    several times does not run ``fn`` again. ``cached`` tells items already done.
     """
-    todo = skip_done(items, ledger)
+    done = ledger.filter("did_succeed").groupBy("task_name").agg(F.max("return_code").alias("_code"))
+    flagged = materialise(items.join(done, "task_name", "left"), "items")
+    todo = flagged.filter("_code IS NULL").drop("_code")
     fresh = materialise(run_items(todo, fn, arguments, cleanup, partitions), "batch")
-    done = items.select("task_name").join(
-        ledger.filter("did_succeed").select("task_name", "return_code").dropDuplicates(["task_name"]), "task_name"
-    )
-    cached = done.select(
+    nothing = F.lit(None).cast("string")
+    cached = flagged.filter("_code IS NOT NULL").select(
         "task_name",
         F.lit(True).alias("did_succeed"),
-        "return_code",
-        F.lit(None).cast("string").alias("stdout"),
-        F.lit(None).cast("string").alias("stderr"),
+        F.col("_code").alias("return_code"),
+        nothing.alias("stdout"),
+        nothing.alias("stderr"),
         F.lit(True).alias("cached"),
     )
     return fresh.withColumn("cached", F.lit(False)).unionByName(cached)

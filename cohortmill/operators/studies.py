@@ -45,17 +45,26 @@ def sessions(catalog: DataFrame, suffix: str | None = FUNC_SUFFIX) -> DataFrame:
 
 
 def session_index(catalog: DataFrame) -> DataFrame:
-    """One row per (subject, session) with ``has_anat`` and ``has_func`` flags.
+    """One row per (subject, session): ``has_anat``, ``has_func``, ``func_session``.
 
-    A single partially aggregated shuffle; the flags answer existence questions
-    that would otherwise each need a join.
+    A single partially aggregated shuffle answers the existence questions that would
+    otherwise each need a join. ``func_session`` is ``has_func`` with a session. All
+    flags are bits of one aggregate, so plans asking for different ones still share
+    the same exchange.
     """
+    anat, func = F.col("suffix") == ANAT_SUFFIX, F.col("suffix") == FUNC_SUFFIX
+    bits = F.when(anat, 1).when(func & F.col("session").isNull(), 2).when(func, 6).otherwise(0)
+    flags = F.col("flags")
     return (
         catalog.filter("subject IS NOT NULL")
         .groupBy("subject", "session")
-        .agg(
-            F.bool_or(F.coalesce(F.col("suffix") == ANAT_SUFFIX, F.lit(False))).alias("has_anat"),
-            F.bool_or(F.coalesce(F.col("suffix") == FUNC_SUFFIX, F.lit(False))).alias("has_func"),
+        .agg(F.bit_or(bits).alias("flags"))
+        .select(
+            "subject",
+            "session",
+            (flags.bitwiseAND(1) != 0).alias("has_anat"),
+            (flags.bitwiseAND(2) != 0).alias("has_func"),
+            (flags.bitwiseAND(4) != 0).alias("func_session"),
         )
     )
 
@@ -127,7 +136,7 @@ def reference_sessions(index: DataFrame) -> DataFrame:
     return index.groupBy("subject").agg(
         F.min(anat).alias("reference_session"),
         F.bool_or("has_anat").alias("subject_has_anat"),
-        F.count_if(F.col("has_func") & F.col("session").isNotNull()).alias("func_sessions"),
+        F.count_if("func_session").alias("func_sessions"),
     )
 
 
@@ -137,7 +146,7 @@ def pick_reference_session(index: DataFrame) -> DataFrame:
     The reference may be another session of the subject, and is null when no
     session of the subject holds anatomical data.
     """
-    functional = index.filter("has_func AND session IS NOT NULL")
+    functional = index.filter("func_session")
     chosen = reference_sessions(index)
     return functional.join(chosen, "subject", "left").select(
         "subject", "session", "reference_session", "subject_has_anat", "func_sessions"
@@ -183,7 +192,7 @@ def capacity_plan(catalog: DataFrame, requested: int, levels: Sequence[str] = ("
     index = session_index(catalog)
     counts = index.groupBy("subject").agg(
         F.bool_or("has_anat").alias("anat"),
-        F.count_if(F.col("has_func") & F.col("session").isNotNull()).alias("n"),
+        F.count_if("func_session").alias("n"),
     )
     totals = counts.filter("anat").agg(
         F.count(F.lit(1)).alias("subject"), F.coalesce(F.sum("n"), F.lit(0)).alias("session")
