@@ -79,6 +79,8 @@ def run_stage(
     record_run(spark, results, ledger_path)
     if not stage_gate(results, single=not keys).first()["go_on"]:
         raise StudyStopped(name)
+    if not keys:
+        return results, items
     return results, materialise(survivors(named, results).drop("task_name"), f"passed-{name}")
 
 

@@ -31,33 +31,18 @@ def expand_root(root: str, variables: Mapping[str, str] | None = None) -> str:
     return scheme + mark + os.path.normpath(rest) if mark else os.path.normpath(text)
 
 
-def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
-    """Files below ``root`` as ``path, size, mtime``, paths relative to the root.
-
-    Only names and metadata are read; the pruned schema leaves file contents out.
-    """
-    base = expand_root(root)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    prefix = F.lit(base.partition("://")[2] or base)
-    plain = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(?://)?", "")
-    relative = F.substr(plain, F.instr(plain, prefix) + F.length(prefix) + 1)
-    return files.select(
-        relative.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime")
-    )
-
-
 _ENTRY_SCHEMA = T.StructType([*FILE_SCHEMA.fields, T.StructField("is_dir", T.BooleanType())])
 _ENTRY_ARROW = pa.schema(
     [("path", pa.string()), ("size", pa.int64()), ("mtime", pa.timestamp("us", "UTC")), ("is_dir", pa.bool_())]
 )
 
 
-def catalog_scan_by_level(spark: SparkSession, root: str) -> DataFrame:
-    """The same catalogue listed level by level on the workers.
+def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
+    """Files below ``root`` as ``path, size, mtime``, paths relative to the root.
 
-    For trees whose file list is too large for one process: each level's folders
-    are spread over the cluster, listed there, and the result is written before the
-    next level starts. Only the number of folders left is read on the driver.
+    Only names and metadata are read, level by level on the workers: the folders of a
+    level are spread over the cluster and listed there, and the result is written
+    before the next level starts. The file list never passes through the driver.
     """
     base = expand_root(root)
 
@@ -91,6 +76,23 @@ def catalog_scan_by_level(spark: SparkSession, root: str) -> DataFrame:
             return files
 
 
+def catalog_scan_binary_file(spark: SparkSession, root: str) -> DataFrame:
+    """The same through Spark's binary file source, for file systems only Hadoop knows.
+
+    The pruned schema leaves contents out. Spark keeps the file index on the driver and
+    leaves out empty files and names starting with ``.`` or ``_``; prefer
+    :func:`catalog_scan`.
+    """
+    base = expand_root(root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+    prefix = F.lit(base.partition("://")[2] or base)
+    plain = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(?://)?", "")
+    relative = F.substr(plain, F.instr(plain, prefix) + F.length(prefix) + 1)
+    return files.select(
+        relative.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime")
+    )
+
+
 def load_study(spark: SparkSession, root: str) -> DataFrame:
     """A scanned catalogue with its name parts."""
     return parse_entities(catalog_scan(spark, root))
