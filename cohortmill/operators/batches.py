@@ -129,13 +129,13 @@ def apply_batch(
 ) -> DataFrame:
     """Outcome of every item: finished ones from the ledger, the others run now.
 
-    ``ledger`` is the current view, one row per task. Items are first written with
-    what the ledger says of them, so one moment decides what runs even while others
-    record. Results are written once and read back, so using the returned frame
+    ``ledger`` is the current view, one row per task; an item given twice counts once.
+    Items are first written with what the ledger says of them, so one moment decides
+    what runs even while others record. Results are written once and read back, so using the returned frame
     several times does not run ``fn`` again. ``cached`` tells items already done.
     """
     done = ledger.filter("did_succeed").groupBy("task_name").agg(F.max("return_code").alias("_code"))
-    flagged = materialise(items.join(done, "task_name", "left"), "items")
+    flagged = materialise(items.dropDuplicates(["task_name"]).join(done, "task_name", "left"), "items")
     todo = flagged.filter("_code IS NULL").drop("_code")
     fresh = materialise(run_items(todo, fn, arguments, cleanup, partitions), "batch")
     nothing = F.lit(None).cast("string")

@@ -33,13 +33,18 @@ def quantile_bounds(df: DataFrame, value: Column, bits: int) -> Column:
 
 
 def bucket_of(value: Column, bounds: Column, bits: int) -> Column:
-    """How many bounds lie below ``value``, by binary search inside the row."""
+    """How many bounds lie below ``value``, by binary search inside the row.
+
+    Never null, so a join on it adds no null check that would run the search on rows
+    not yet aggregated.
+    """
     steps = F.array(*[F.lit(2**b) for b in reversed(range(bits))])
-    return F.reduce(
+    found = F.reduce(
         steps,
         F.lit(0),
         lambda at, step: at + F.when(F.get(bounds, at + step - 1) < value, step).otherwise(F.lit(0)),
     )
+    return F.coalesce(found, F.lit(0))
 
 
 def with_order_buckets(df: DataFrame, order: Sequence[str], bits: int) -> DataFrame:

@@ -542,16 +542,16 @@ def a11_capacity_plan(spark, sf):
 
 
 def stage_records(spark, sf):
-    """The run after RUN_START: what each item had before it, and what it has now."""
-    records = fx.history(spark, sf)
-    before = fx.current(fx.before_run(records)).filter("did_succeed").select("task_name", F.lit(True).alias("was_done"))
-    now = fx.current(records)
-    return now.join(before, "task_name", "left").select(
-        "item",
-        F.col("batch").alias("stage"),
-        F.coalesce("was_done", F.lit(False)).alias("skipped"),
-        "did_succeed",
-        "task_name",
+    """Per item and stage: done before RUN_START, and the newest outcome; one aggregate."""
+    at = F.struct("ts_us", "event_id")
+    before = F.when(F.col("ts_us") < F.unix_micros(F.lit(fx.RUN_START).cast("timestamp")), at)
+    return (
+        fx.history(spark, sf)
+        .groupBy("item", F.col("batch").alias("stage"))
+        .agg(
+            F.coalesce(F.max_by("did_succeed", before), F.lit(False)).alias("skipped"),
+            F.max_by("did_succeed", at).alias("did_succeed"),
+        )
     )
 
 

@@ -20,10 +20,17 @@ def shard_of(subject: Column, shards: Column) -> Column:
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Approximate uncompressed bytes of a row: text and binary lengths plus 8 per other column."""
+    """Approximate uncompressed bytes of a row: text lengths, contents, 8 per other column.
+
+    File contents are counted by the ``size`` column where there is one, so measuring
+    does not read them.
+    """
     total: Column = F.lit(0)
     for name, kind in df.dtypes:
-        width = F.octet_length(F.col(name)) if kind in ("string", "binary") else F.lit(8)
+        if kind == "binary" and "size" in df.columns:
+            width = F.col("size")
+        else:
+            width = F.octet_length(F.col(name)) if kind in ("string", "binary") else F.lit(8)
         total = total + F.coalesce(width, F.lit(0))
     return total
 

@@ -39,7 +39,9 @@ def sweep(did_succeed, number, folder):
 
 def test_batch_outcomes_cleanup_and_single_execution(spark, tmp_path, rows):
     ledger = spark.createDataFrame([("t_00", True, 0), ("t_01", False, 9)], L)
-    results = batches.apply_batch(items_of(spark, 6, tmp_path), ledger, mark, ["number", "folder"], sweep)
+    items = items_of(spark, 6, tmp_path)
+    twice = items.unionByName(items.filter("number < 3"))
+    results = batches.apply_batch(twice, ledger, mark, ["number", "folder"], sweep)
     got = {r.task_name: r for r in results.collect()}
     assert {k: (v.did_succeed, v.return_code, v.cached) for k, v in got.items()} == {
         "t_00": (True, 0, True),
