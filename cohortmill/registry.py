@@ -141,7 +141,7 @@ def s10_ledger_csv(spark, sf):
 def s11_ledger_record(spark, sf):
     records = fx.history(spark, sf)
     path = scratch_path(spark, "ledger")
-    timed = records.withColumn("recorded_at", F.timestamp_micros("ts_us"))
+    timed = records.withColumn("recorded_at", F.timestamp_micros("ts_us")).withColumn("position", F.col("event_id"))
     ledger_store.ledger_record(fx.before_run(timed), path, 0)
     ledger_store.ledger_record(fx.during_run(timed), path, 1)
     return ledger_store.ledger_current(spark, path).select("task_name", "did_succeed", "return_code")
@@ -701,6 +701,7 @@ def _result_stream(spark, sf) -> DataFrame:
         (~failed).alias("did_succeed"),
         failed.cast("int").alias("return_code"),
         F.col("ts").alias("recorded_at"),
+        F.col("event_id").alias("position"),
         stage.alias("batch"),
     )
 

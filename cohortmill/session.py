@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import sys
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Rows a caller-supplied Python table may have and still be hinted for broadcast.
@@ -71,18 +71,6 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return F.broadcast(df) if len(rows) <= MAX_BROADCAST_ROWS else df
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per Spark context."""
-    context = spark.sparkContext
-    if getattr(context, "_cohortmill_shipped", False):
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="cohortmill-"), "cohortmill.zip")
-    with zipfile.ZipFile(target, "w") as archive:
-        for folder, _, files in os.walk(root):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(full, os.path.join("cohortmill", os.path.relpath(full, root)))
-    context.addPyFile(target)
-    context._cohortmill_shipped = True
+def send_package_by_value() -> None:
+    """Let workers that lack this package run its functions, by pickling them whole."""
+    cloudpickle.register_pickle_by_value(sys.modules["cohortmill"])

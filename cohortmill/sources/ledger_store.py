@@ -12,9 +12,10 @@ RECORD_SCHEMA = T.StructType(
         *LEDGER_SCHEMA.fields,
         T.StructField("seq", T.LongType()),
         T.StructField("recorded_at", T.TimestampType()),
+        T.StructField("position", T.LongType()),
     ]
 )
-ORDER = ("seq", "recorded_at", "return_code")
+ORDER = ("seq", "recorded_at", "position", "return_code")
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -41,11 +42,13 @@ def ledger_record(results: DataFrame, path: str, run: int) -> None:
 
     Each run has a folder of its own and later runs win, so recording a run again
     replaces exactly that run, and writers of different runs do not meet. Results may
-    bring a ``recorded_at`` time, which orders repeats of a task inside the run.
+    bring a ``recorded_at`` time, which orders repeats of a task inside the run, and a
+    ``position`` number for repeats at the same time.
     """
-    timed = "recorded_at" in results.columns
+    brought = set(results.columns)
     (
-        results.withColumn("recorded_at", F.col("recorded_at") if timed else F.current_timestamp())
+        results.withColumn("recorded_at", F.col("recorded_at") if "recorded_at" in brought else F.current_timestamp())
+        .withColumn("position", F.col("position").cast("bigint") if "position" in brought else F.lit(0).cast("bigint"))
         .withColumn("seq", F.lit(run).cast("bigint"))
         .select(*RECORD_SCHEMA.names)
         .write.mode("overwrite")

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cohortmill.session import build_session, ship_package  # noqa: E402
+from cohortmill.session import build_session, send_package_by_value  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,7 +21,7 @@ def spark(tmp_path_factory):
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    ship_package(session)
+    send_package_by_value()
     yield session
     session.stop()
 

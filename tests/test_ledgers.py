@@ -36,6 +36,13 @@ def test_recording_replaces_the_earlier_record(spark, tmp_path, rows):
         store.ledger_compact(spark, path, target)
 
 
+def test_repeats_at_the_same_time_follow_their_position(spark, tmp_path, rows):
+    path = str(tmp_path / "store")
+    df = spark.createDataFrame([("a", False, 1, 2), ("a", True, 0, 3), ("a", False, 5, 1)], L + ", position long")
+    store.ledger_record(df.withColumn("recorded_at", F.timestamp_seconds(F.lit(5))), path, 0)
+    assert rows(store.ledger_current(spark, path).select("task_name", "did_succeed")) == [("a", True)]
+
+
 def test_a_later_failure_hides_an_earlier_success(spark, rows):
     records = spark.createDataFrame(
         [("a", True, 0, 1), ("a", False, 2, 2), ("b", False, 1, 1), ("b", True, 0, 3)], L + ", seq long"
