@@ -155,6 +155,9 @@ ORACLES: dict[str, str] = {
         FROM items i JOIN anat_subjects USING (subject) LEFT JOIN reference r ON r.subject = i.subject
         JOIN funcs n ON n.subject = i.subject
         WHERE i.task_name NOT IN (SELECT task_name FROM done WHERE did_succeed)""",
+    "s1_catalog_scan": """
+        SELECT concat('c_nationkey=', c_nationkey, '/c_mktsegment=', c_mktsegment) AS folder,
+               CAST(sum(length(c_name) + 1) AS BIGINT) AS bytes FROM customer GROUP BY 1""",
     "s2_catalog_save_load": STUDY_ROWS,
     "s3_listing_ingest": f"WITH {LISTING} SELECT subject, session, anat_path FROM listing",
     "s3_rejected_lines": f"WITH {STUDY} SELECT count(*) AS rejected FROM study",
@@ -365,6 +368,10 @@ ORACLES: dict[str, str] = {
                  AS return_code,
                coalesce(d.did_succeed, FALSE) AS cached
         FROM (SELECT *, CAST(session AS BIGINT) AS n FROM items) LEFT JOIN done d USING (task_name)""",
+    "plan_staged_run": f"""WITH {SESSIONS}
+        SELECT subject, session, reference_session FROM bold LEFT JOIN reference USING (subject)
+        WHERE subject IN (SELECT subject FROM anat_subjects) AND CAST(subject AS BIGINT) % 4 <> 0
+          AND CAST(session AS BIGINT) % 5 <> 0 AND CAST(session AS BIGINT) % 3 = 0""",
     "x1_stalled_workers": """
         SELECT CAST(user_id AS VARCHAR) AS worker FROM events GROUP BY user_id
         HAVING (SELECT max(ts) FROM events) - max(ts) > INTERVAL 21600 SECOND""",

@@ -13,6 +13,7 @@ from cohortmill.functions.entities import parse_entities
 from cohortmill.functions.paths import normalise_path
 from cohortmill.operators import batches, derivatives, health, labels, ledgers, manifests, reports, studies
 from cohortmill.plans.pending import pending_sessions
+from cohortmill.plans.staged import Stage, run_study
 from cohortmill.session import scratch_path
 from cohortmill.sources import catalogs, documents, ledger_store, listings, packs
 from cohortmill.sources.spec import DerivativeSpec, spec_read
@@ -41,7 +42,12 @@ def flagship_pending_sessions(spark, sf):
 
 @query
 def s1_catalog_scan(spark, sf):
-    return catalogs.catalog_scan(spark, sf).select("path", "size")
+    """List a tree written from the customers, one folder per nation and segment."""
+    root = scratch_path(spark, "tree")
+    lines = fx.table(spark, sf, "customer").select(F.col("c_name").alias("value"), "c_nationkey", "c_mktsegment")
+    lines.write.partitionBy("c_nationkey", "c_mktsegment").text(root)
+    files = catalogs.catalog_scan(spark, root).filter(F.endswith("path", F.lit(".txt")))
+    return files.groupBy(F.substring_index("path", "/", 2).alias("folder")).agg(F.sum("size").alias("bytes"))
 
 
 @query
@@ -669,6 +675,21 @@ def u1_apply_batch(spark, sf):
     return results.select("task_name", "did_succeed", "return_code", "cached")
 
 
+def check_subject(subject: str) -> batches.TaskResult:
+    return batches.TaskResult(int(subject) % 4 != 0, 0)
+
+
+@query
+def plan_staged_run(spark, sf):
+    """Anatomical stage, then filters and functional sessions of its survivors."""
+    stages = {
+        "anatomical": Stage(check_subject),
+        "session_functional": Stage(check_session),
+    }
+    run = run_study(spark, fx.study(spark, sf), scratch_path(spark, "ledger"), "session", stages)
+    return run.passed.select("subject", "session", "reference_session")
+
+
 # --- streams --------------------------------------------------------------------
 
 
