@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -17,6 +17,11 @@ DEFAULT_IGNORES = (
 )
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def expand_variables(path: Column, variables: Mapping[str, str]) -> Column:
     """Replace ``$NAME`` and ``${NAME}``; names outside the mapping stay as they are.
 
@@ -30,15 +35,14 @@ def expand_variables(path: Column, variables: Mapping[str, str]) -> Column:
 
     def piece(text: Column) -> Column:
         name = F.concat(F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 2))
-        value = F.try_element_at(table, name)
-        rest = F.regexp_replace(text, pattern, "")
-        return F.when(value.isNotNull(), F.concat(value, rest)).otherwise(F.concat(F.lit("$"), text))
+        known = F.concat(F.try_element_at(table, name), F.regexp_replace(text, pattern, ""))
+        return F.coalesce(known, F.concat(F.lit("$"), text))
+
+    def join(cut: Column) -> Column:
+        pieces = F.transform(F.slice(cut, 2, F.size(cut) - 1), piece)
+        return F.concat(F.get(cut, F.lit(0)), F.array_join(pieces, ""))
 
-    cut = F.split(path, r"\$")
-    expanded = F.concat(
-        cut[0], F.array_join(F.transform(F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0))), piece), "")
-    )
-    return F.when(F.instr(path, "$") > 0, expanded).otherwise(path)
+    return F.when(F.instr(path, "$") > 0, _bind(F.split(path, r"\$"), join)).otherwise(path)
 
 
 def collapse_dots(path: Column) -> Column:
@@ -50,14 +54,17 @@ def collapse_dots(path: Column) -> Column:
         return (
             F.when(part.isin("", "."), kept)
             .when(part != "..", F.array_append(kept, part))
-            .when(last.isNotNull() & (last != ".."), F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+            .when(last.isNotNull() & (last != ".."), F.slice(kept, 1, F.size(kept) - 1))
             .when(absolute, kept)
             .otherwise(F.array_append(kept, part))
         )
 
     parts = F.reduce(F.split(path, "/"), F.array().cast("array<string>"), step)
     joined = F.concat(F.when(absolute, F.lit("/")).otherwise(F.lit("")), F.array_join(parts, "/"))
-    return F.when(joined == "", F.lit(".")).otherwise(joined)
+    return F.coalesce(F.nullif(joined, F.lit("")), F.lit("."))
+
+
+MESSY = r"//|/$|(?:^|/)\.\.?(?:/|$)|^$"
 
 
 def normalise_path(path: Column, variables: Mapping[str, str] | None = None) -> Column:
@@ -65,9 +72,8 @@ def normalise_path(path: Column, variables: Mapping[str, str] | None = None) ->
 
     The fold runs only on paths that need it; clean paths pass through.
     """
-    p = expand_variables(path, variables or {})
-    messy = p.rlike(r"//|/$|(?:^|/)\.\.?(?:/|$)|^$")
-    return F.when(messy, collapse_dots(p)).otherwise(p)
+    expanded = expand_variables(path, variables or {})
+    return _bind(expanded, lambda p: F.when(p.rlike(MESSY), collapse_dots(p)).otherwise(p))
 
 
 def glob_regex(glob: str) -> str:

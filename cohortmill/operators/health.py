@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 LOCK_TOLERANCE_SECONDS = 86_400
 HEARTBEAT_TIMEOUT_SECONDS = 60
 CHECK_PERIOD_SECONDS = 120
+# Lock and log files below a subject's folder.
+LOCK_PATTERN = r"^([^/]+)/scripts/IsRunning[^/]*$"
+LOG_PATTERN = r"^([^/]+)/scripts/recon-all\.log$"
 
 
 def _micros(ts: Column) -> Column:
@@ -23,6 +26,17 @@ def stalled_workers(
     return newest.filter(silent > F.lit(int(timeout * 1_000_000)))
 
 
+def lock_tables(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``locks(subject, path)`` and ``logs(subject, mtime)`` of a scanned subjects folder."""
+    path = F.col("path")
+    locks = catalog.filter(path.rlike(LOCK_PATTERN))
+    logs = catalog.filter(path.rlike(LOG_PATTERN))
+    return (
+        locks.select(F.regexp_extract(path, LOCK_PATTERN, 1).alias("subject"), "path"),
+        logs.select(F.regexp_extract(path, LOG_PATTERN, 1).alias("subject"), "mtime"),
+    )
+
+
 def lock_status(
     subjects: DataFrame, locks: DataFrame, logs: DataFrame, now: Column, tolerance: float = LOCK_TOLERANCE_SECONDS
 ) -> DataFrame:

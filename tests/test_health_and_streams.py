@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cohortmill.operators import health, labels
 from cohortmill.operators.ledgers import latest_record
 from cohortmill.sources import ledger_store
+from cohortmill.sources.catalogs import catalog_scan
 from cohortmill.streaming import completions, heartbeats
 
 
@@ -13,12 +14,17 @@ from cohortmill.streaming import completions, heartbeats
     "locked,tolerance,status",
     [(False, 86400, "clear"), (True, 86400, "blocked"), (True, 0, "stale")],
 )
-def test_lock_golden_cases(spark, rows, locked, tolerance, status):
-    subject = spark.createDataFrame([("01",)], "subject string")
-    log = subject.withColumn("mtime", F.timestamp_seconds(F.lit(1000)))
-    locks = subject if locked else subject.limit(0)
-    now = F.timestamp_seconds(F.lit(1000))
-    assert rows(health.lock_status(subject, locks, log, now, tolerance)) == [("01", status)]
+def test_lock_golden_cases_on_files(spark, tmp_path, rows, locked, tolerance, status):
+    scripts = tmp_path / "sub-01" / "scripts"
+    scripts.mkdir(parents=True)
+    (scripts / "recon-all.log").write_text("log")
+    for side in ("lh", "rh") if locked else ():
+        (scripts / f"IsRunning.{side}").write_text("running")
+    locks, logs = health.lock_tables(catalog_scan(spark, str(tmp_path)))
+    assert locks.count() == (2 if locked else 0)
+    subject = spark.createDataFrame([("sub-01",)], "subject string")
+    got = health.lock_status(subject, locks, logs, F.current_timestamp(), tolerance)
+    assert rows(got) == [("sub-01", status)]
 
 
 def test_lock_without_a_log_is_stale_and_the_limit_is_strict(spark, rows):

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from cohortmill.operators.studies import budget_check, capacity_plan, entity_query, first_k_sessions, first_sessions_list
 from cohortmill.operators.studies import sessions, work_items
-from cohortmill.sources import catalogs, documents, listings, packs
+from cohortmill.operators.manifests import path_rules, validate_manifest
+from cohortmill.sources import catalogs, documents, listings, packs, probes
 from cohortmill.session import scratch_path, shared_dir
 
 FILES = {
@@ -41,6 +42,22 @@ def test_scan_expands_variables(spark, tree, monkeypatch):
     assert catalogs.catalog_scan(spark, "${STUDY_PARENT}/./study/").count() == len(FILES)
 
 
+def test_probed_manifest(spark, tree, rows):
+    wanted = {
+        "sub-01": ("input_dir", None),
+        "sub-01/ses-01/": ("input_dir", None),
+        "participants.tsv": ("input_dir", "not_a_dir"),
+        "missing.tsv": ("input_file", "not_found"),
+        "new/deep": ("output_dir", None),
+        "participants.tsv/x": ("output_file", "parent_not_a_dir"),
+        "sub-1": ("output_file", "not_a_file"),
+    }
+    data = [(f"{tree}/{p}", role) for p, (role, _) in wanted.items()] + [(f"file://{tree}/sub-1", "input_file")]
+    probed = probes.probe_paths(spark.createDataFrame(data, "path string, role string"))
+    want = [(f"{tree}/{p}", v) for p, (_, v) in wanted.items() if v] + [(f"file://{tree}/sub-1", "not_a_file")]
+    assert rows(validate_manifest(probed, path_rules())) == sorted(want, key=repr)
+
+
 def test_binary_file_scan_skips_contents(spark, tree, rows):
     df = catalogs.catalog_scan_binary_file(spark, str(tree))
     assert {r.path for r in df.collect()} == {name for name, text in FILES.items() if text}
