@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortmill.functions.tasks import task_name
-from cohortmill.session import materialise
+from cohortmill.session import materialise, worker_partitions
 
 RAISED_RETURN_CODE = -1
 # Results held in a worker before they are passed on; captured logs may be large.
@@ -84,11 +84,7 @@ def run_items(
         for x in structs.get(name, [name])
     ]
     sent = items.select("task_name", *flat)
-    # An explicit count, because adaptive execution would merge small-looking partitions
-    # and a few bytes of item may be hours of work.
-    spark = items.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    sent = sent.repartition(partitions or tasks, "task_name")
+    sent = sent.repartition(partitions or worker_partitions(items.sparkSession), "task_name")
 
     def call(args: dict) -> TaskResult:
         try:

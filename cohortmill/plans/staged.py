@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -63,9 +64,13 @@ class StudyRun:
 
 
 def record_run(spark: SparkSession, results: DataFrame, ledger_path: str) -> None:
-    """Append fresh outcomes as the next run of the store."""
+    """Append fresh outcomes as the next run of the store.
+
+    Drivers recording at the same moment may take the same number but not the same
+    folder.
+    """
     last = ledger_records(spark, ledger_path).agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("seq")).first()
-    ledger_record(results.filter("NOT cached"), ledger_path, last["seq"] + 1)
+    ledger_record(results.filter("NOT cached"), ledger_path, last["seq"] + 1, uuid.uuid4().hex)
 
 
 def run_stage(

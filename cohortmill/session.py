@@ -5,12 +5,11 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession
 
-# Rows a caller-supplied Python table may have and still be hinted for broadcast.
+# Rows a table known on the driver may have and still be hinted for broadcast.
 MAX_BROADCAST_ROWS = 10_000
 
 
@@ -61,14 +60,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    """A Python table as a DataFrame, hinted for broadcast only while it is small.
+def worker_partitions(spark: SparkSession) -> int:
+    """Partitions for work whose cost its bytes do not show, such as calls and listings.
 
-    Above :data:`MAX_BROADCAST_ROWS` the hint is left out and Spark chooses a
-    shuffled join.
+    Passed to ``repartition`` as a number, which adaptive execution leaves alone; it
+    would merge partitions that look small.
     """
-    df = spark.createDataFrame(list(rows), schema)
-    return F.broadcast(df) if len(rows) <= MAX_BROADCAST_ROWS else df
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def send_package_by_value() -> None:

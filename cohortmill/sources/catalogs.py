@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator, Mapping
+from datetime import datetime, timezone
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
@@ -11,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cohortmill.functions.entities import parse_entities
-from cohortmill.session import materialise
+from cohortmill.session import materialise, worker_partitions
 
 FILE_SCHEMA = T.StructType(
     [
@@ -31,6 +33,8 @@ def expand_root(root: str, variables: Mapping[str, str] | None = None) -> str:
     return scheme + mark + os.path.normpath(rest) if mark else os.path.normpath(text)
 
 
+# Entries of a folder passed on at a time.
+LISTING_ROWS = 10_000
 _ENTRY_SCHEMA = T.StructType([*FILE_SCHEMA.fields, T.StructField("is_dir", T.BooleanType())])
 _ENTRY_ARROW = pa.schema(
     [("path", pa.string()), ("size", pa.int64()), ("mtime", pa.timestamp("us", "UTC")), ("is_dir", pa.bool_())]
@@ -46,28 +50,32 @@ def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
     """
     base = expand_root(root)
 
+    def entries(folder: str) -> Iterator[dict]:
+        if "://" in base:
+            system, start = fs.FileSystem.from_uri(base)
+            for x in system.get_file_info(fs.FileSelector(f"{start}/{folder}".rstrip("/"))):
+                name, is_dir = x.path[len(start) :].lstrip("/"), x.type == fs.FileType.Directory
+                yield {"path": name, "size": x.size, "mtime": x.mtime, "is_dir": is_dir}
+            return
+        with os.scandir(os.path.join(base, folder)) as found:
+            for x in found:
+                info = x.stat()
+                when = datetime.fromtimestamp(info.st_mtime, timezone.utc)
+                name = os.path.join(folder, x.name)
+                yield {"path": name, "size": info.st_size, "mtime": when, "is_dir": x.is_dir()}
+
     def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, start = fs.FileSystem.from_uri(base) if "://" in base else (fs.LocalFileSystem(), base)
         for batch in batches:
             for folder in batch.column("path").to_pylist():
-                found = system.get_file_info(fs.FileSelector(f"{start}/{folder}".rstrip("/")))
-                for i in range(0, len(found), 10_000):
-                    rows = [
-                        {
-                            "path": x.path[len(start) :].lstrip("/"),
-                            "size": x.size,
-                            "mtime": x.mtime,
-                            "is_dir": x.type == fs.FileType.Directory,
-                        }
-                        for x in found[i : i + 10_000]
-                    ]
+                found = entries(folder)
+                while rows := list(islice(found, LISTING_ROWS)):
                     yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY_ARROW)
 
     folders = spark.range(1).select(F.lit("").alias("path"))
     files = None
     while True:
         level = materialise(
-            folders.repartition("path").mapInArrow(list_folders, _ENTRY_SCHEMA), "listing"
+            folders.repartition(worker_partitions(spark), "path").mapInArrow(list_folders, _ENTRY_SCHEMA), "listing"
         )
         here = level.filter("NOT is_dir").drop("is_dir")
         files = here if files is None else files.unionByName(here)

@@ -37,11 +37,12 @@ def ledger_write_csv(ledger: DataFrame, path: str) -> None:
     ledger.select(*LEDGER_SCHEMA.names).write.mode("overwrite").option("header", "true").csv(path)
 
 
-def ledger_record(results: DataFrame, path: str, run: int) -> None:
+def ledger_record(results: DataFrame, path: str, run: int, token: str | None = None) -> None:
     """Append the outcomes of one run.
 
     Each run has a folder of its own and later runs win, so recording a run again
-    replaces exactly that run, and writers of different runs do not meet. Results may
+    replaces exactly that run, and writers of different runs do not meet. A ``token``
+    keeps apart writers that may have chosen the same number. Results may
     bring a ``recorded_at`` time, which orders repeats of a task inside the run, and a
     ``position`` number for repeats at the same time.
     """
@@ -52,7 +53,7 @@ def ledger_record(results: DataFrame, path: str, run: int) -> None:
         .withColumn("seq", F.lit(run).cast("bigint"))
         .select(*RECORD_SCHEMA.names)
         .write.mode("overwrite")
-        .parquet(f"{path.rstrip('/')}/run={run}")
+        .parquet(f"{path.rstrip('/')}/run={run}{'-' + token if token else ''}")
     )
 
 

@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, functions as F
 from cohortmill.sources.ledger_store import ledger_record
 
 
-def completion_sink(results: DataFrame, path: str, checkpoint: str, once: bool = False, **trigger: str):
+def completion_sink(
+    results: DataFrame, path: str, checkpoint: str, once: bool = False, first_run: int = 0, **trigger: str
+):
     """Record outcomes in a ledger store as they arrive.
 
     A micro-batch writes the run folder of its own number, so a replayed batch
-    replaces itself and nothing is recorded twice.
+    replaces itself and nothing is recorded twice. In a store that holds runs already,
+    ``first_run`` must lie above them.
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        ledger_record(batch, path, batch_id)
+        ledger_record(batch, path, first_run + batch_id, "stream")
 
     writer = results.writeStream.option("checkpointLocation", checkpoint).foreachBatch(record)
     return writer.trigger(**({"availableNow": True} if once else trigger or {"processingTime": "10 seconds"})).start()

@@ -36,6 +36,14 @@ def test_recording_replaces_the_earlier_record(spark, tmp_path, rows):
         store.ledger_compact(spark, path, target)
 
 
+def test_writers_with_the_same_number_do_not_meet(spark, tmp_path, rows):
+    path = str(tmp_path / "store")
+    store.ledger_record(spark.createDataFrame([("a", True, 0)], L), path, 4, "x")
+    store.ledger_record(spark.createDataFrame([("b", True, 0)], L), path, 4, "y")
+    store.ledger_record(spark.createDataFrame([("c", True, 0)], L), path, 5)
+    assert rows(store.ledger_current(spark, path).select("task_name", "seq")) == [("a", 4), ("b", 4), ("c", 5)]
+
+
 def test_repeats_at_the_same_time_follow_their_position(spark, tmp_path, rows):
     path = str(tmp_path / "store")
     df = spark.createDataFrame([("a", False, 1, 2), ("a", True, 0, 3), ("a", False, 5, 1)], L + ", position long")

@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from cohortmill.functions import tasks
@@ -32,6 +33,30 @@ def test_parse_entities_golden(spark):
     assert got[paths[6]]["suffix"] is None and got[paths[6]]["extension"] is None
 
 
+ids = st.text("ab019", min_size=1, max_size=4)
+parts = st.fixed_dictionaries(
+    {"subject": ids, "suffix": st.sampled_from(["T1w", "bold", "xfm"]), "extension": st.sampled_from(["nii", "nii.gz"])},
+    optional={k: ids for k in ("session", "run", "space", "hemi", "from_", "to_", "mode", "label", "desc")},
+)
+
+
+def built_path(p):
+    keys = {"session": "ses", "from_": "from", "to_": "to"}
+    order = ("session", "run", "space", "hemi", "from_", "to_", "mode", "label", "desc")
+    name = "".join(f"_{keys.get(k, k)}-{p[k]}" for k in order if k in p)
+    folder = f"sub-{p['subject']}" + (f"/ses-{p['session']}" if "session" in p else "")
+    return f"{folder}/anat/sub-{p['subject']}{name}_{p['suffix']}.{p['extension']}"
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(parts, min_size=20, max_size=40))
+def test_built_paths_parse_back(spark, data):
+    df = spark.createDataFrame([(built_path(p),) for p in data], "path string").coalesce(1)
+    for want, row in zip(data, parse_entities(df).collect()):
+        got = {k: v for k, v in row.asDict().items() if v is not None and k not in ("path", "datatype")}
+        assert got == want and row.datatype == "anat"
+
+
 @pytest.mark.parametrize(
     "raw,clean",
     [
