@@ -101,9 +101,13 @@ def sessions_by_subject(
         .select("subject", F.ceil(F.col("n") / page_size).cast("bigint").alias("pages"))
     )
     page = F.coalesce(F.pmod(F.xxhash64("session"), F.col("pages")), F.lit(0)).cast("int")
+    # Without the explicit exchange the join's partitioning by subject would do for the
+    # aggregate, and all pages of a subject would meet in one task.
     return (
         listed.join(large, "subject", "left")
-        .groupBy("subject", page.alias("page"))
+        .select("subject", "session", page.alias("page"))
+        .repartition("subject", "page")
+        .groupBy("subject", "page")
         .agg(F.array_sort(F.collect_set("session")).alias("sessions"))
     )
 

@@ -1,6 +1,7 @@
 """Groups that hold a third of all rows or more: results stay whole, work stays split."""
 
 import random
+import re
 import statistics
 
 import pytest
@@ -93,7 +94,10 @@ def hot_catalog(spark):
 
 
 def test_session_lists_of_a_hot_subject_come_in_pages(spark):
-    pages = studies.sessions_by_subject(hot_catalog(spark), page_size=50).collect()
+    lists = studies.sessions_by_subject(hot_catalog(spark), page_size=50)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(subject#\d+, page#\d+", plan)
+    pages = lists.collect()
     hot = [r for r in pages if r.subject == "hot"]
     assert len(hot) == 10 and max(len(r.sessions) for r in hot) < 100
     assert sorted(s for r in hot for s in r.sessions) == [f"{i:04d}" for i in range(500)]
@@ -102,6 +106,19 @@ def test_session_lists_of_a_hot_subject_come_in_pages(spark):
     assert others["bare"] == (0, []) and others["s3"] == (0, ["0", "1", "2"])
 
 
+def test_no_task_of_the_page_aggregate_gets_the_hot_subject(spark):
+    """Rows per task, counted where the pages are built, with Spark's default settings."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pages = studies.sessions_by_subject(hot_catalog(spark), page_size=50)
+        held = pages.groupBy(F.spark_partition_id().alias("task")).agg(F.sum(F.size("sessions")).alias("n"))
+        assert held.agg(F.max("n")).first()[0] < 500
+    finally:
+        spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_first_sessions_cut_before_the_shuffle(spark):
     sessions = studies.sessions(hot_catalog(spark), None)
     first = studies.first_k_sessions(sessions, 2)
