@@ -96,6 +96,13 @@ def test_listing_golden(spark, rows):
     assert rows(listings.rejected_lines(df)) == [(1,)]
 
 
+def test_listing_file(spark, tmp_path, rows):
+    path = tmp_path / "listing.txt"
+    path.write_text("header\n----+----\nx sub-01\nx sub-01/ses-1/func/sub-01_ses-1_bold.nii\n")
+    got = listings.listing_ingest(listings.read_listing(spark, str(path)))
+    assert [tuple(r) for r in got.collect()] == [("01", None, None), ("01", "1", None)]
+
+
 def test_listing_fields(spark, rows):
     lines = ["01", "01,01", "01,01,/anat/sub-01_ses-01_run-01_T1w.nii.gz", "02,,/anat/sub-02_T1w.nii.gz", ","]
     df = spark.createDataFrame([(x,) for x in lines], "line string")
