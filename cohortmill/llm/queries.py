@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from cohortmill.llm.decontamination import DECONTAMINATION_SQL, op5_decontamination
+from cohortmill.llm.fingerprints import op9_fingerprints
+from cohortmill.llm.secrets import op6_secrets
 from cohortmill.llm.sharding import op7_sharding
 from cohortmill.llm.url_filters import op4_url_filters
 from cohortmill.llm.warc import WARC_SQL, op1_warc
@@ -9,9 +12,13 @@ from cohortmill.llm.warc import WARC_SQL, op1_warc
 LLM_QUERIES = {
     "op1_warc": op1_warc,
     "op4_url_filters": op4_url_filters,
+    "op5_decontamination": op5_decontamination,
+    "op6_secrets": op6_secrets,
     "op7_sharding": op7_sharding,
+    "op9_fingerprints": op9_fingerprints,
 }
 
 LLM_ORACLES = {
     "op1_warc": WARC_SQL,
+    "op5_decontamination": DECONTAMINATION_SQL,
 }
