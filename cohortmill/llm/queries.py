@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from cohortmill.llm.decontamination import DECONTAMINATION_SQL, op5_decontamination
 from cohortmill.llm.fingerprints import op9_fingerprints
+from cohortmill.llm.languages import op3_languages
+from cohortmill.llm.line_dedup import LINE_DEDUP_SQL, op10_line_dedup
+from cohortmill.llm.pieces import op8_sentencepiece
 from cohortmill.llm.secrets import op6_secrets
 from cohortmill.llm.sharding import op7_sharding
 from cohortmill.llm.url_filters import op4_url_filters
@@ -11,14 +14,18 @@ from cohortmill.llm.warc import WARC_SQL, op1_warc
 
 LLM_QUERIES = {
     "op1_warc": op1_warc,
+    "op3_languages": op3_languages,
     "op4_url_filters": op4_url_filters,
     "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
     "op7_sharding": op7_sharding,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 LLM_ORACLES = {
     "op1_warc": WARC_SQL,
     "op5_decontamination": DECONTAMINATION_SQL,
+    "op10_line_dedup": LINE_DEDUP_SQL,
 }
