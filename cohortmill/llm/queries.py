@@ -6,6 +6,7 @@ from cohortmill.llm.decontamination import DECONTAMINATION_SQL, op5_decontaminat
 from cohortmill.llm.fingerprints import op9_fingerprints
 from cohortmill.llm.languages import op3_languages
 from cohortmill.llm.line_dedup import LINE_DEDUP_SQL, op10_line_dedup
+from cohortmill.llm.near_dups import NEAR_DUPS_SQL, op2_near_dups
 from cohortmill.llm.pieces import op8_sentencepiece
 from cohortmill.llm.secrets import op6_secrets
 from cohortmill.llm.sharding import op7_sharding
@@ -14,6 +15,7 @@ from cohortmill.llm.warc import WARC_SQL, op1_warc
 
 LLM_QUERIES = {
     "op1_warc": op1_warc,
+    "op2_near_dups": op2_near_dups,
     "op3_languages": op3_languages,
     "op4_url_filters": op4_url_filters,
     "op5_decontamination": op5_decontamination,
@@ -26,6 +28,7 @@ LLM_QUERIES = {
 
 LLM_ORACLES = {
     "op1_warc": WARC_SQL,
+    "op2_near_dups": NEAR_DUPS_SQL,
     "op5_decontamination": DECONTAMINATION_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
 }
