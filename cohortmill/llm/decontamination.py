@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortmill.llm.fm_index import FMIndex
-from cohortmill.llm.texts import WORDLIKE, chunks, column_bytes, read_table, segment_hashes, small_batches, words
+from cohortmill.llm.texts import WORDLIKE, chunks, column_bytes, read_table, segment_hashes, set_aside, small_batches, words
 
 WINDOW = 10
 SHARD_BYTES = 3 << 20
@@ -189,7 +189,7 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str,
 def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, clean: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (first word, word after the last) and ``items`` (ids as sorted strings).
 
-    With ``clean`` the covered words are cut out of ``text``, from the first one's start to
+    Columns of these names are replaced. With ``clean`` the covered words are cut out of ``text``, from the first one's start to
     the last one's end.
     """
     spark = docs.sparkSession
@@ -210,11 +210,13 @@ def _blocks_as_broadcasts(spark: SparkSession, benchmark: DataFrame, window: int
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with benchmark passages cut out of their texts, same columns; ``n_chars`` follows where present."""
+    columns = docs.columns
+    docs, back = set_aside(docs, *_STATE)
     cleaned = find_passages(docs, benchmark, clean=True)
     if "n_chars" in docs.columns:
         changed = F.when(F.size("hit_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
         cleaned = cleaned.withColumn("n_chars", changed)
-    return cleaned.select(*docs.columns)
+    return cleaned.drop(*_STATE).withColumnsRenamed(back).select(*columns)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm.texts import read_table, small_batches
+from cohortmill.llm.texts import mix, read_table, set_aside, small_batches
 
 LENGTHS = (1, 2, 3)
 BINS = 1 << 16
@@ -46,8 +46,7 @@ def presence(text: str, out: np.ndarray) -> None:
             break
         rolled = rolled[: len(symbols) - n + 1] * np.uint64(0x100000001B3) + symbols[n - 1 :]
         if n in LENGTHS:
-            spread = (rolled ^ (rolled >> np.uint64(23)) ^ np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
-            out[spread >> np.uint64(48)] = 1
+            out[mix(rolled + np.uint64(n << 56)) >> np.uint64(48)] = 1
 
 
 def has_letter(text: str | None) -> bool:
@@ -143,7 +142,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, from ``text`` alone."""
+    """``docs`` with ``lang_pred`` and ``score``, from ``text`` alone; columns of these names are replaced."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -177,7 +176,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     """Rows whose text has a language; the columns stay."""
-    return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    columns = docs.columns
+    docs, back = set_aside(docs, "lang_pred", "score")
+    known = identify(docs, model).where(F.col("lang_pred") != UNKNOWN)
+    return known.drop("lang_pred", "score").withColumnsRenamed(back).select(*columns)
 
 
 def op3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill.llm.texts import set_aside
+
 WINDOW = 3
 _BLANKS = " \t\r"
 
@@ -67,20 +69,20 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` without covered lines, with ``n_lines`` and ``n_removed``."""
-    found = repeated_lines(docs).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_of"), "starts")
+    """``docs`` without covered lines, with ``n_lines`` and ``n_removed``; columns of these names are replaced."""
+    found = repeated_lines(docs).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_of"), F.col("starts").alias("_starts"))
     kept = docs.drop("n_lines", "n_removed")
     matched = kept.join(found, kept["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64("text") == F.col("_of")), "left")
     lines = F.split("text", "\n")
-    covered = F.flatten(F.transform("starts", lambda at: F.array(*[at + k for k in range(WINDOW)])))
+    covered = F.flatten(F.transform("_starts", lambda at: F.array(*[at + k for k in range(WINDOW)])))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
     left = F.array_join(F.transform(stay, lambda at: F.get(F.col("_lines"), at)), "\n")
     made = matched.withColumn("_lines", lines)
     made = made.withColumns(
         {
             "n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
-            "n_removed": F.when(F.col("starts").isNotNull(), F.size("_lines") - F.size(stay)).otherwise(0).cast("long"),
-            "_left": F.when(F.col("starts").isNotNull(), left).otherwise(F.col("text")),
+            "n_removed": F.when(F.col("_starts").isNotNull(), F.size("_lines") - F.size(stay)).otherwise(0).cast("long"),
+            "_left": F.when(F.col("_starts").isNotNull(), left).otherwise(F.col("text")),
         }
     )
     made = made.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.col("n_lines")))
@@ -90,11 +92,13 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages removed, same columns; documents of which nothing is left go."""
+    columns = docs.columns
+    docs, back = set_aside(docs, "n_lines", "n_removed")
     made = remove_repeated_lines(docs)
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     gone = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))
-    return made.where(~gone).select(*docs.columns)
+    return made.where(~gone).drop("n_lines", "n_removed").withColumnsRenamed(back).select(*columns)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

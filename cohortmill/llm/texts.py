@@ -10,7 +10,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Rows an Arrow batch may have; texts are long, and Python workers have little memory.
 BATCH_ROWS = 512
@@ -120,6 +119,7 @@ def digest128(hashed: np.ndarray) -> bytes:
     return hashlib.blake2b(hashed.tobytes(), digest_size=16).digest()
 
 
-def with_columns_of(docs: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that extra ones with clashing names do not matter."""
-    return docs.select(*[F.col(n) for n in names])
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns of the given names called otherwise, and what to call them again."""
+    back = {f"_own_{n}": n for n in names if n in docs.columns}
+    return docs.withColumnsRenamed({n: aside for aside, n in back.items()}), back
