@@ -201,6 +201,13 @@ def similar_rows():
     template = [sentence(rng, 20) for _ in range(5)]
     for _ in range(12):
         rows.append((len(rows), " ".join(x if rng.random() < 0.7 else sentence(rng, 20) for x in template)))
+    long = sentence(rng, 160).split()
+    for k in range(0, 60, 4):
+        # Cut at either end, and some of them changed a little.
+        words = long[: 160 - k] if k % 8 else long[k:]
+        if k % 3 == 0:
+            words = [*words[:50], sentence(rng, 1), *words[51:]]
+        rows.append((len(rows), " ".join(words)))
     rng.shuffle(rows)
     return rows
 
