@@ -54,9 +54,7 @@ def study_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("_run-"), F.col("run").cast("string"),
         F.lit("_"), F.col("suffix"), F.lit(".nii.gz"),
     )
-    # The array keeps filters on name parts above the aggregate, as for files read from
-    # disk; below it they would run once per line item.
-    return files.select(F.inline(F.array(F.struct(name.alias("path"), "size", "mtime"))))
+    return files.select(name.alias("path"), "size", "mtime")
 
 
 def study(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +135,23 @@ def found_derivatives(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) ->
     return found.select(F.inline(F.array(F.struct(there.alias("path")))))
 
 
+def placed_derivatives(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) -> DataFrame:
+    """:func:`found_derivatives` as studies have them: some subjects' files lie in a session, some name a run."""
+    number = F.substring_index(F.substring_index("path", "/", 1), "-", -1).cast("bigint")
+    session = F.regexp_replace("path", "^(sub-[^/]+)/anat/sub-[^_]+", "$1/ses-1/anat/$1_ses-1")
+    run = F.regexp_replace("path", "(/sub-[^_/]+)_", "$1_run-1_")
+    path = F.when(number % 4 == 1, session).when(number % 4 == 2, run).otherwise(F.col("path"))
+    return found_derivatives(spark, sf_dir, spec).select(F.inline(F.array(F.struct(path.alias("path")))))
+
+
+def found_surfaces(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) -> DataFrame:
+    """All expected files with surfaces, but for one of them where the subject's number divides by 3."""
+    items = expand_spaces(deriv_subjects(spark, sf_dir), spec, SPACES, surfaces=True)
+    there = ~((F.col("subject").cast("bigint") % 3 == 0) & F.contains("tail", F.lit("_hemi-R_pial")))
+    path = derivative_path(F.col("subject"), F.col("folder"), F.col("tail"))
+    return items.filter(there).select(F.inline(F.array(F.struct(path.alias("path")))))
+
+
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("worker"), F.col("ts").alias("last_seen")

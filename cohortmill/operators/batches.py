@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import traceback
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
@@ -10,12 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from cohortmill.functions.tasks import task_name
-from cohortmill.session import materialise, worker_partitions
+from cohortmill.operators.ordered import number_rows
+from cohortmill.session import materialise, scratch_path, worker_partitions
 
 RAISED_RETURN_CODE = -1
 # Results held in a worker before they are passed on; captured logs may be large.
 FLUSH_ROWS = 1_000
 FLUSH_CHARACTERS = 4_000_000
+# About how long a wave of a batch takes; what a lost driver loses is one wave.
+WAVE_SECONDS = 60.0
 
 
 class TaskResult(NamedTuple):
@@ -48,6 +52,7 @@ RESULT_ARROW = pa.schema(
 
 TaskFunction = Callable[..., TaskResult]
 Cleanup = Callable[..., object]
+Record = Callable[[DataFrame, int], object]
 
 
 def name_items(items: DataFrame, task: str, keys: Sequence[str], sep: str | None = None) -> DataFrame:
@@ -65,10 +70,11 @@ def run_items(
     """Call ``fn`` once per item with its columns as named arguments.
 
     A struct column passes its fields as arguments of their own. A non-zero return
-    code is data; an exception becomes a failed row. ``cleanup(did_succeed, **args)``
-    runs on the same worker right after an item that did not raise; its outcome is
-    ignored. Spark may run an item again after losing an executor, so ``fn`` must be
-    idempotent.
+    code is data; an exception, an exit of the interpreter too, becomes a failed row.
+    ``cleanup(did_succeed, **args)`` runs on the same worker right after an item that did
+    not raise; its outcome is ignored. Spark may run an item again after losing an
+    executor, so ``fn`` must be idempotent. Items with a ``row_number`` are cut into ranges of
+    it, so each task gets as many as the others; without one they are dealt in turn.
     """
     structs = {
         f.name: [x.name for x in f.dataType.fields]
@@ -83,18 +89,20 @@ def run_items(
         for name in arguments
         for x in structs.get(name, [name])
     ]
-    sent = items.select("task_name", *flat)
-    sent = sent.repartition(partitions or worker_partitions(items.sparkSession), "task_name")
+    parts = partitions or worker_partitions(items.sparkSession)
+    numbered = "row_number" in items.columns
+    dealt = items.repartitionByRange(parts, "row_number") if numbered else items.repartition(parts)
+    sent = dealt.select("task_name", *flat)
 
     def call(args: dict) -> TaskResult:
         try:
             result = TaskResult(*fn(**args))
-        except Exception:
+        except (Exception, SystemExit):
             return TaskResult(False, RAISED_RETURN_CODE, None, traceback.format_exc())
         if cleanup is not None:
             try:
                 cleanup(bool(result.did_succeed), **args)
-            except Exception:
+            except (Exception, SystemExit):
                 pass
         return result
 
@@ -122,20 +130,42 @@ def apply_batch(
     arguments: Sequence[str],
     cleanup: Cleanup | None = None,
     partitions: int | None = None,
+    record: Record | None = None,
+    wave_seconds: float = WAVE_SECONDS,
 ) -> DataFrame:
     """Outcome of every item: finished ones from the ledger, the others run now.
 
     ``ledger`` is the current view, one row per task; an item given twice counts once.
     Items are first written with what the ledger says of them, so one moment decides
-    what runs even while others record. Results are written once and read back, so using the returned frame
-    several times does not run ``fn`` again. ``cached`` tells items already done.
+    what runs even while others record. They then run in waves, the first of a few items per
+    worker, later ones of about ``wave_seconds``. The outcomes of a wave are written, and given
+    to ``record(results, wave)``, before the next one starts: a run that is lost goes on
+    from there. Using the returned frame several times does not run ``fn`` again. ``cached``
+    tells items already done.
     """
-    done = ledger.filter("did_succeed").groupBy("task_name").agg(F.max("return_code").alias("_code"))
+    spark = items.sparkSession
+    done = ledger.filter("did_succeed").groupBy("task_name").agg(F.max("return_code").alias("_code"), F.lit(True).alias("_done"))
     flagged = materialise(items.dropDuplicates(["task_name"]).join(done, "task_name", "left"), "items")
-    todo = flagged.filter("_code IS NULL").drop("_code")
-    fresh = materialise(run_items(todo, fn, arguments, cleanup, partitions), "batch")
+    todo = materialise(number_rows(flagged.filter("_done IS NULL").drop("_code", "_done"), ["task_name"]), "todo")
+    total = todo.agg(F.coalesce(F.max("n_rows"), F.lit(0))).first()[0]
+    slots, folder = partitions or worker_partitions(spark), scratch_path(spark, "batch")
+    start, size, wave = 0, 4 * slots, 0
+    while start < total or not wave:
+        began = time.monotonic()
+        mine = todo.filter((F.col("row_number") >= start) & (F.col("row_number") < start + size))
+        here = f"{folder}/wave={wave}"
+        run_items(mine, fn, arguments, cleanup, min(size, 16 * slots)).write.parquet(here)
+        if record is not None:
+            record(spark.read.schema(RESULT_SCHEMA).parquet(here), wave)
+        took = time.monotonic() - began
+        start, wave = start + size, wave + 1
+        if took < wave_seconds / 2:
+            size *= 8 if took < wave_seconds / 16 else 2
+        elif took > 2 * wave_seconds:
+            size = max(slots, size // 2)
+    fresh = spark.read.schema(RESULT_SCHEMA).parquet(folder).select(*RESULT_SCHEMA.names)
     nothing = F.lit(None).cast("string")
-    cached = flagged.filter("_code IS NOT NULL").select(
+    cached = flagged.filter("_done").select(
         "task_name",
         F.lit(True).alias("did_succeed"),
         F.col("_code").alias("return_code"),

@@ -117,39 +117,60 @@ def resolve_with_fallback(expected: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def derivatives_complete(resolved: DataFrame) -> DataFrame:
-    """Per subject whether every required unit was found.
+def found_units(
+    subjects: DataFrame, catalog: DataFrame, spec: DerivativeSpec, spaces: Sequence[str], surfaces: bool = False
+) -> DataFrame:
+    """Files that answer a unit of the specification: ``subject, unit, grp, name, space, path``.
 
-    A unit with several files needs one of them, a surface unit all of them.
+    Baseline outputs and transforms are any files with the right name parts, at subject or
+    session level; surface outputs are the expected paths, with or without ``.gz``.
     """
-    unit = resolved.groupBy("subject", "unit", "need_all").agg(
-        F.bool_or("found").alias("any_found"), F.bool_and("found").alias("all_found")
-    )
-    ok = F.when(F.col("need_all"), F.col("all_found")).otherwise(F.col("any_found"))
-    return unit.groupBy("subject").agg(F.bool_and(ok).alias("complete"))
+    found = match_derivatives(catalog, spec, spaces).join(subjects.select("subject"), "subject", "left_semi")
+    if not surfaces:
+        return found
+    expected = predict_derivatives(subjects, spec, spaces, surfaces=True).filter("grp = 'surfaces'")
+    exact = resolve_with_fallback(expected, catalog.select("path")).filter("found")
+    return found.unionByName(exact.select("subject", "unit", "grp", "name", "space", F.col("resolved").alias("path")))
+
+
+def derivatives_complete(
+    subjects: DataFrame, found: DataFrame, spec: DerivativeSpec, spaces: Sequence[str], surfaces: bool = False
+) -> DataFrame:
+    """Per subject whether every required unit has a file in ``found``.
+
+    A unit with several files needs one of them, a surface unit all of them. What a subject
+    needs is a number known from the specification, so one count per subject decides.
+    """
+    items = spec.items(spaces, surfaces)
+    needed = len({(i["unit"], i["tail"] if i["need_all"] else None) for i in items})
+    part = F.when(F.col("grp") == "surfaces", F.col("path"))
+    have = found.select("subject", "unit", part.alias("part")).distinct().groupBy("subject").agg(F.count(F.lit(1)).alias("n"))
+    complete = F.coalesce(F.col("n") == needed, F.lit(needed == 0))
+    return subjects.select("subject").distinct().join(have, "subject", "left").select("subject", complete.alias("complete"))
 
 
-def derivative_cache(resolved: DataFrame, spaces: Sequence[str]) -> DataFrame:
+def derivative_cache(
+    subjects: DataFrame, found: DataFrame, spec: DerivativeSpec, spaces: Sequence[str], surfaces: bool = False
+) -> DataFrame:
     """Outputs of the complete subjects in long form ``subject, name, space, path``.
 
     The requested spaces are listed under the name ``template``.
     """
-    complete = derivatives_complete(resolved).filter("complete").select("subject")
-    outputs = resolved.filter("found").select("subject", "name", "space", F.col("resolved").alias("path"))
+    complete = derivatives_complete(subjects, found, spec, spaces, surfaces).filter("complete").select("subject")
     templates = complete.select(
         "subject",
         F.lit("template").alias("name"),
         F.explode(F.array(*[F.lit(s) for s in spaces]).cast("array<string>")).alias("space"),
         F.lit(None).cast("string").alias("path"),
     )
-    return outputs.join(complete, "subject", "left_semi").unionByName(templates)
+    outputs = found.select("subject", "name", "space", "path").join(complete, "subject", "left_semi")
+    return outputs.unionByName(templates)
 
 
 def derivative_maps(cache: DataFrame) -> DataFrame:
     """The cache as one map per subject, name to ordered paths (spaces for ``template``).
 
-    The cache holds at most one path per expected item, so the specification bounds
-    each subject's map.
+    A map holds the files of one subject; where those may be many, keep the long form.
     """
     value = F.coalesce("path", "space")
     lists = cache.groupBy("subject", "name").agg(F.array_sort(F.collect_set(value)).alias("paths"))

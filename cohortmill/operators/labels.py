@@ -6,26 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-INT16_LABELS = 1 << 16
-
 
 def relabel(voxels: DataFrame, lut: Sequence[int] | DataFrame, label: str = "label") -> DataFrame:
     """Replace ``label`` by the lookup table's 16-bit value; an unknown label raises.
 
     A list maps position to value and becomes a constant array: no join and no
     shuffle. A DataFrame ``(label, new_label)`` is joined with the strategy Spark
-    chooses from its size.
+    chooses from its size; a label listed twice with one value counts once, with two
+    values it raises.
     """
     unknown = F.raise_error(
         F.concat(F.lit("label outside the lookup table: "), F.coalesce(F.col(label).cast("string"), F.lit("null")))
     ).cast("smallint")
     if isinstance(lut, DataFrame):
-        table = lut.select(F.col("label").alias(label), F.col("new_label").cast("smallint").alias("_new"))
+        value = F.col("new_label").cast("smallint")
+        twice = F.raise_error(F.concat(F.lit("label listed with two values: "), F.col("label").cast("string")))
+        table = lut.groupBy(F.col("label").alias("label")).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+        new = F.when(F.col("_low") == F.col("_high"), F.col("_low")).when(F.col("_low").isNull(), F.lit(None)).otherwise(twice.cast("smallint"))
+        table = table.select(F.col("label").alias(label), new.alias("_new"))
         found = voxels.join(table, label, "left")
         new = F.when(F.col("_new").isNull(), unknown).otherwise(F.col("_new"))
         return found.withColumn("new_label", new).drop("_new")
-    if len(lut) > INT16_LABELS:
-        raise ValueError("pass a lookup table of more than 65536 labels as a DataFrame")
     if any(not -32768 <= v <= 32767 for v in lut):
         raise ValueError("lookup table values must fit 16 bits")
     if not lut:

@@ -96,6 +96,30 @@ def stage_gate(results: DataFrame, by: Sequence[str] = (), single: bool = False)
     return results.groupBy(*by).agg(F.coalesce(flag, F.lit(False)).alias("go_on"))
 
 
+def run_records(records: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per ``by``: done before the run (``skipped``), newest outcome, and the first record of the run (``first``).
+
+    ``records`` have ``did_succeed``, a totally ordered struct ``at`` and ``before``, whether they were made
+    before the run. All of it is one aggregate that folds in the tasks.
+    """
+    earlier = F.when(F.col("before"), F.col("at"))
+    return records.groupBy(*by).agg(
+        F.coalesce(F.max_by("did_succeed", earlier), F.lit(False)).alias("skipped"),
+        F.max_by("did_succeed", "at").alias("did_succeed"),
+        F.min(F.when(~F.col("before"), F.col("at"))).alias("first"),
+    )
+
+
+def stage_records(records: DataFrame, by: Sequence[str] = ("item", "stage")) -> DataFrame:
+    """The rows :func:`stage_funnel` reads: per item and stage ``skipped`` and ``did_succeed``."""
+    return run_records(records, by).drop("first")
+
+
+def batch_totals(tasks: DataFrame, by: Sequence[str] = ("batch",)) -> DataFrame:
+    """The rows :func:`progress` reads: per batch ``initial`` and ``total``, from :func:`run_records` by task."""
+    return tasks.groupBy(*by).agg(F.count_if("skipped").alias("initial"), F.count(F.lit(1)).alias("total"))
+
+
 def progress(
     completions: DataFrame,
     batches: DataFrame,

@@ -12,24 +12,60 @@ from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-MIN_BITS, MAX_BITS = 4, 13
+from cohortmill.session import materialise, worker_partitions
+
+MIN_BITS = 4
+# Groups of input tasks whose sketches merge before the last merge.
+SKETCHES = 64
+
+
+# Bits of a row's place inside its partition in monotonically_increasing_id.
+_PLACE_BITS = 33
+
+
+def number_rows(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``row_number`` from 0 in the given order and ``n_rows``, their count.
+
+    The rows are range-partitioned and written once, so that the numbers inside each
+    partition stay what they are; the partitions' counts, one row each, are then
+    summed up. No row passes through one task but those counts.
+    """
+    parts = worker_partitions(rows.sparkSession)
+    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = materialise(placed.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", _PLACE_BITS)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_count"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "_part",
+        F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_count").over(Window.partitionBy()).alias("n_rows"),
+    )
+    # One row per partition of the job, so its size is bounded by ``parts``.
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    inside = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return numbered.withColumn("row_number", F.col("_offset") + inside).drop("_part", "_at", "_offset", "_count")
 
 
 def bucket_bits(spark: SparkSession) -> int:
     """Bits for about four buckets per shuffle partition, so buckets shrink with the cluster."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_BITS, max(MIN_BITS, ceil(log2(4 * partitions))))
+    return max(MIN_BITS, ceil(log2(4 * partitions)))
 
 
 def quantile_bounds(df: DataFrame, value: Column, bits: int) -> Column:
     """``2**bits - 1`` rising cut points of ``value`` as one scalar subquery.
 
-    The subquery runs once per query, so every use and every retried task sees
-    the same bounds; how exact they are only affects balance, never results.
+    Sketches merge in two steps: those of the input tasks in ``SKETCHES`` groups, then the
+    groups' cut points, so no task meets the sketches of all others. The subquery runs once per
+    query, so every use and every retried task sees the same bounds; how exact
+    they are only affects balance, never results.
     """
     n = 2**bits
     points = [i / n for i in range(1, n)]
-    return df.agg(F.percentile_approx(value, points, max(10_000, 8 * n)).alias("bounds")).scalar()
+    parts = df.select(value.alias("v"), (F.spark_partition_id() % SKETCHES).alias("part"))
+    drawn = parts.groupBy("part").agg(F.percentile_approx("v", points, 4 * n).alias("v"))
+    return drawn.select(F.explode("v").alias("v")).agg(F.percentile_approx("v", points, 4 * n).alias("bounds")).scalar()
 
 
 def bucket_of(value: Column, bounds: Column, bits: int) -> Column:

@@ -13,8 +13,6 @@ FUNC_SUFFIX = "bold"
 GIB = 1024**3
 SCRATCH_LIMITS = {"session": 240 * GIB, "subject": 300 * GIB, "dataset": 300 * GIB}
 
-PAGE_SIZE = 100_000
-
 
 def entity_query(catalog: DataFrame, **filters: object) -> DataFrame:
     """Rows whose name parts equal a value, are in a list, or are absent (``None``)."""
@@ -84,32 +82,16 @@ def sessions_in(sessions: DataFrame, others: DataFrame) -> DataFrame:
     return sessions.join(others.select("subject", "session"), ["subject", "session"], "left_semi")
 
 
-def sessions_by_subject(
-    catalog: DataFrame, suffix: str | None = None, page_size: int = PAGE_SIZE
-) -> DataFrame:
-    """Sorted, deduplicated session lists: ``subject, page, sessions``.
+def sessions_by_subject(catalog: DataFrame, suffix: str | None = None) -> DataFrame:
+    """The sorted, deduplicated sessions of every subject as rows ``subject, session``.
 
-    A subject without sessions keeps an empty list. A subject with more than
-    ``page_size`` sessions gets several rows, told apart by ``page`` and together
-    holding every session once, so no list outgrows one task.
+    A subject without sessions keeps one row with a null session. The rows are sorted over all
+    tasks, so a subject's list is its rows in order, and no list has to fit a task.
     """
-    listed = _having(catalog, suffix).filter("subject IS NOT NULL").select("subject", "session").distinct()
-    large = (
-        listed.groupBy("subject")
-        .agg(F.count("session").alias("n"))
-        .filter(F.col("n") > page_size)
-        .select("subject", F.ceil(F.col("n") / page_size).cast("bigint").alias("pages"))
-    )
-    page = F.coalesce(F.pmod(F.xxhash64("session"), F.col("pages")), F.lit(0)).cast("int")
-    # Without the explicit exchange the join's partitioning by subject would do for the
-    # aggregate, and all pages of a subject would meet in one task.
-    return (
-        listed.join(large, "subject", "left")
-        .select("subject", "session", page.alias("page"))
-        .repartition("subject", "page")
-        .groupBy("subject", "page")
-        .agg(F.array_sort(F.collect_set("session")).alias("sessions"))
-    )
+    listed = _having(catalog, suffix).filter("subject IS NOT NULL")
+    known = listed.filter("session IS NOT NULL").select("subject", "session").distinct()
+    without = listed.groupBy("subject").agg(F.max("session").alias("session")).filter("session IS NULL")
+    return known.unionByName(without).orderBy("subject", "session")
 
 
 def subject_session_pairs(subjects: DataFrame, sessions: DataFrame) -> DataFrame:

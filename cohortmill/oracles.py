@@ -77,6 +77,15 @@ resolved AS (
   FROM expected),
 complete AS (SELECT subject FROM resolved GROUP BY 1 HAVING count(*) = count(resolved))"""
 
+# Where the files of complete subjects lie: every fourth subject's in a session, every fourth one's name a run.
+PLACED = """
+placed AS (
+  SELECT subject, name, space, CASE key % 4
+      WHEN 1 THEN replace(replace(resolved, '/anat/', '/ses-1/anat/'), concat('/sub-', subject, '_'), concat('/sub-', subject, '_ses-1_'))
+      WHEN 2 THEN replace(resolved, concat('/sub-', subject, '_'), concat('/sub-', subject, '_run-1_'))
+      ELSE resolved END AS path
+  FROM resolved WHERE subject IN (SELECT subject FROM complete))"""
+
 EXTENSION = "CASE WHEN grp = 'std_xfms' THEN 'h5' WHEN (key + k) % 5 = 0 THEN 'nii' ELSE 'nii.gz' END"
 
 UNITS = STUDY + """,
@@ -176,6 +185,7 @@ ORACLES: dict[str, str] = {
         FROM study s LEFT JOIN target t ON t.path = s.path WHERE t.path IS NULL OR t.size <> s.size""",
     "s8_sync_plan_back": f"""WITH {TARGET}
         SELECT t.path, t.size, 'changed' AS reason FROM target t JOIN study s ON t.path = s.path WHERE t.size <> s.size""",
+    "s8_sync_plan_times": f"WITH {STUDY} SELECT path, size, 'changed' AS reason FROM study WHERE size % 17 = 0",
     "s9_retire_scratch": f"""WITH {ITEMS},
         scratch AS (SELECT concat('func|', subject, '|', session) AS task_name, path, size FROM study
                     WHERE session IS NOT NULL)
@@ -262,6 +272,10 @@ ORACLES: dict[str, str] = {
         SELECT l_orderkey AS volume_id, l_partkey AS voxel, l_linenumber AS label, CAST(new_label AS SMALLINT) AS new_label
         FROM lineitem JOIN (VALUES (0, 0), (1, 3), (2, 42), (3, 0), (4, 5), (5, 6), (6, 17), (7, 99))
              lut(label, new_label) ON label = l_linenumber""",
+    "j9_relabel_table": """
+        SELECT l_orderkey AS volume_id, l_partkey AS voxel, l_linenumber AS label, CAST(new_label AS SMALLINT) AS new_label
+        FROM lineitem JOIN (VALUES (0, 0), (1, 3), (2, 42), (3, 0), (4, 5), (5, 6), (6, 17), (7, 99))
+             lut(label, new_label) ON label = l_linenumber""",
     "j10_lock_status": """
         WITH n AS (SELECT max(ts) AS now FROM events),
         s AS (SELECT user_id, CAST(user_id AS VARCHAR) AS subject,
@@ -278,8 +292,8 @@ ORACLES: dict[str, str] = {
     "a1_subjects": f"WITH {STUDY} SELECT DISTINCT subject FROM study WHERE suffix = 'T1w'",
     "a2_sessions": f"WITH {SESSIONS} SELECT subject, session FROM bold",
     "a3_sessions_by_subject": f"""WITH {STUDY}, s AS (SELECT DISTINCT subject, session FROM study)
-        SELECT subject, CAST(0 AS INTEGER) AS page, coalesce(string_agg(session, ',' ORDER BY session), '') AS sessions
-        FROM s GROUP BY 1""",
+        SELECT subject, session FROM s WHERE session IS NOT NULL
+        UNION ALL SELECT subject, NULL FROM s GROUP BY subject HAVING max(session) IS NULL""",
     "a4_batch_summary": f"""WITH {HISTORY}
         SELECT batch, count(*) AS items, count(*) FILTER (WHERE did_succeed) AS successful,
                count(*) FILTER (WHERE NOT did_succeed) AS failed FROM latest GROUP BY 1""",
@@ -297,12 +311,13 @@ ORACLES: dict[str, str] = {
     "a7_single_gate": f"WITH {HISTORY} SELECT coalesce(bool_and(did_succeed), FALSE) AS go_on FROM latest",
     "a8_derivatives_complete": f"""WITH {DERIV}
         SELECT subject, count(*) = count(resolved) AS complete FROM resolved GROUP BY 1""",
-    "a9_derivative_cache": f"""WITH {DERIV}
-        SELECT subject, name, space, resolved AS path FROM resolved WHERE subject IN (SELECT subject FROM complete)
+    "a8_surfaces_complete": "SELECT CAST(c_custkey AS VARCHAR) AS subject, c_custkey % 3 <> 0 AS complete FROM customer",
+    "a9_derivative_cache": f"""WITH {DERIV}, {PLACED}
+        SELECT subject, name, space, path FROM placed
         UNION ALL SELECT subject, 'template', space, NULL FROM complete, std""",
-    "a9_derivative_maps": f"""WITH {DERIV},
+    "a9_derivative_maps": f"""WITH {DERIV}, {PLACED},
         entries AS (
-          SELECT subject, name, resolved AS path FROM resolved WHERE subject IN (SELECT subject FROM complete)
+          SELECT subject, name, path FROM placed
           UNION ALL SELECT subject, 'template', space FROM complete, std)
         SELECT subject, name, string_agg(path, ',' ORDER BY path) AS paths FROM entries GROUP BY 1, 2""",
     "a10_duplicate_keys": f"""WITH {HISTORY}
@@ -368,6 +383,14 @@ ORACLES: dict[str, str] = {
                  AS return_code,
                coalesce(d.did_succeed, FALSE) AS cached
         FROM (SELECT *, CAST(session AS BIGINT) AS n FROM items) LEFT JOIN done d USING (task_name)""",
+    "u2_run_once": """WITH o AS (SELECT count(*) AS n FROM orders)
+        SELECT 'count' AS task_name, n % 2 = 0 AS did_succeed, CAST(n % 97 AS INTEGER) AS return_code, FALSE AS cached FROM o
+        UNION ALL SELECT 'other', TRUE, CAST(n % 97 AS INTEGER), TRUE FROM o""",
+    "u3_cleanup_marks": f"WITH {SESSIONS} SELECT subject, CAST(subject AS BIGINT) % 4 <> 0 AS did_succeed FROM anat_subjects",
+    "u4_struct_items": f"""WITH {ITEMS}
+        SELECT task_name, n % 5 <> 0 AND n % 3 = 0 AS did_succeed,
+               CAST(CASE WHEN n % 5 = 0 THEN -1 ELSE n % 3 END AS INTEGER) AS return_code
+        FROM (SELECT *, CAST(session AS BIGINT) AS n FROM items)""",
     "plan_staged_run": f"""WITH {SESSIONS}
         SELECT subject, session, reference_session FROM bold LEFT JOIN reference USING (subject)
         WHERE subject IN (SELECT subject FROM anat_subjects) AND CAST(subject AS BIGINT) % 4 <> 0

@@ -63,25 +63,37 @@ class StudyRun:
     passed: DataFrame | None = None
 
 
+def next_run(spark: SparkSession, ledger_path: str) -> int:
+    """The number after the last run of the store."""
+    last = ledger_records(spark, ledger_path).agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("seq")).first()
+    return last["seq"] + 1
+
+
 def record_run(spark: SparkSession, results: DataFrame, ledger_path: str) -> None:
     """Append fresh outcomes as the next run of the store.
 
     Drivers recording at the same moment may take the same number but not the same
     folder.
     """
-    last = ledger_records(spark, ledger_path).agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("seq")).first()
-    ledger_record(results.filter("NOT cached"), ledger_path, last["seq"] + 1, uuid.uuid4().hex)
+    ledger_record(results.filter("NOT cached"), ledger_path, next_run(spark, ledger_path), uuid.uuid4().hex)
 
 
 def run_stage(
     spark: SparkSession, name: str, items: DataFrame, stage: Stage, keys: Sequence[str], ledger_path: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Run one stage, record it, stop if nothing succeeded; results and survivors."""
+    """Run one stage, stop if nothing succeeded; results and survivors.
+
+    Every wave of outcomes is in the ledger before the next one runs.
+    """
     named = name_items(items, name, keys) if keys else items.withColumn("task_name", F.lit(name))
     ledger = ledger_current(spark, ledger_path)
     arguments = list(stage.arguments if stage.arguments is not None else keys)
-    results = apply_batch(named, ledger, stage.fn, arguments, stage.cleanup)
-    record_run(spark, results, ledger_path)
+    run, token = next_run(spark, ledger_path), uuid.uuid4().hex
+
+    def record(results: DataFrame, wave: int) -> None:
+        ledger_record(results, ledger_path, run, f"{token}-{wave}")
+
+    results = apply_batch(named, ledger, stage.fn, arguments, stage.cleanup, record=record)
     if not stage_gate(results, single=not keys).first()["go_on"]:
         raise StudyStopped(name)
     if not keys:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortmill import fixtures as fx
@@ -117,6 +118,14 @@ def s8_sync_plan_back(spark, sf):
     return plan.select("path", "size", "reason")
 
 
+@query
+def s8_sync_plan_times(spark, sf):
+    """Copies of the same size whose times differ."""
+    files = fx.study_files(spark, sf)
+    later = F.when(F.col("size") % 17 == 0, F.col("mtime") + F.expr("INTERVAL 1 SECOND")).otherwise(F.col("mtime"))
+    return manifests.sync_plan(files, files.withColumn("mtime", later)).select("path", "size", "reason")
+
+
 def _scratch(spark, sf):
     files = fx.study(spark, sf).filter("session IS NOT NULL")
     return files.select(
@@ -439,6 +448,14 @@ def j9_relabel(spark, sf):
     return labels.relabel(fx.voxels(spark, sf), fx.LUT)
 
 
+@query
+def j9_relabel_table(spark, sf):
+    """The same through a table, in which every label stands twice."""
+    rows = fx.table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("label")).distinct()
+    lut = rows.select("label", F.get(F.array(*[F.lit(v) for v in fx.LUT]), F.col("label")).alias("new_label"))
+    return labels.relabel(fx.voxels(spark, sf), lut.unionByName(lut))
+
+
 def lock_parts(spark, sf):
     events = fx.table(spark, sf, "events").withColumn("subject", F.col("user_id").cast("string"))
     locks = events.filter((F.col("event_type") == "error") & (F.col("event_id") % 7 == 0)).select("subject")
@@ -478,8 +495,7 @@ def a2_sessions(spark, sf):
 
 @query
 def a3_sessions_by_subject(spark, sf):
-    lists = studies.sessions_by_subject(fx.study(spark, sf))
-    return lists.withColumn("sessions", F.array_join("sessions", ","))
+    return studies.sessions_by_subject(fx.study(spark, sf))
 
 
 def current_history(spark, sf):
@@ -518,20 +534,32 @@ def a7_single_gate(spark, sf):
     return ledgers.stage_gate(current_history(spark, sf), single=True)
 
 
+def found_units(spark, sf):
+    catalog = parse_entities(fx.placed_derivatives(spark, sf, SPEC))
+    return derivatives.found_units(fx.deriv_subjects(spark, sf), catalog, SPEC, fx.SPACES)
+
+
 @query
 def a8_derivatives_complete(spark, sf):
-    return derivatives.derivatives_complete(resolved(spark, sf))
+    return derivatives.derivatives_complete(fx.deriv_subjects(spark, sf), found_units(spark, sf), SPEC, fx.SPACES)
+
+
+@query
+def a8_surfaces_complete(spark, sf):
+    subjects, catalog = fx.deriv_subjects(spark, sf), parse_entities(fx.found_surfaces(spark, sf, SPEC))
+    found = derivatives.found_units(subjects, catalog, SPEC, fx.SPACES, surfaces=True)
+    return derivatives.derivatives_complete(subjects, found, SPEC, fx.SPACES, surfaces=True)
 
 
 @query
 def a9_derivative_cache(spark, sf):
-    return derivatives.derivative_cache(resolved(spark, sf), fx.SPACES)
+    return derivatives.derivative_cache(fx.deriv_subjects(spark, sf), found_units(spark, sf), SPEC, fx.SPACES)
 
 
 @query
 def a9_derivative_maps(spark, sf):
-    maps = derivatives.derivative_maps(derivatives.derivative_cache(resolved(spark, sf), fx.SPACES))
-    listed = maps.select("subject", F.explode("outputs").alias("name", "paths"))
+    cache = derivatives.derivative_cache(fx.deriv_subjects(spark, sf), found_units(spark, sf), SPEC, fx.SPACES)
+    listed = derivatives.derivative_maps(cache).select("subject", F.explode("outputs").alias("name", "paths"))
     return listed.withColumn("paths", F.array_join("paths", ","))
 
 
@@ -547,23 +575,15 @@ def a11_capacity_plan(spark, sf):
     return every.unionByName(studies.capacity_plan(catalog, 2000).withColumn("asked", F.lit(2000).cast("bigint")))
 
 
-def stage_records(spark, sf):
-    """Per item and stage: done before RUN_START, and the newest outcome; one aggregate."""
+def history_records(spark, sf):
     at = F.struct("ts_us", "event_id")
-    before = F.when(F.col("ts_us") < F.unix_micros(F.lit(fx.RUN_START).cast("timestamp")), at)
-    return (
-        fx.history(spark, sf)
-        .groupBy("item", F.col("batch").alias("stage"))
-        .agg(
-            F.coalesce(F.max_by("did_succeed", before), F.lit(False)).alias("skipped"),
-            F.max_by("did_succeed", at).alias("did_succeed"),
-        )
-    )
+    before = F.col("ts_us") < F.unix_micros(F.lit(fx.RUN_START).cast("timestamp"))
+    return fx.history(spark, sf).select("task_name", "item", F.col("batch").alias("stage"), "batch", "did_succeed", at.alias("at"), before.alias("before"))
 
 
 @query
 def a12_stage_funnel(spark, sf):
-    return ledgers.stage_funnel(stage_records(spark, sf), "item", ["stage0", "stage1", "stage2", "stage3"])
+    return ledgers.stage_funnel(ledgers.stage_records(history_records(spark, sf), ["item", "stage"]), "item", ["stage0", "stage1", "stage2", "stage3"])
 
 
 @query
@@ -600,15 +620,9 @@ def w2_latest_record(spark, sf):
 
 @query
 def w3_progress(spark, sf):
-    records = fx.history(spark, sf)
-    first = F.min_by(F.struct("did_succeed", "ts_us", "event_id"), F.struct("ts_us", "event_id"))
-    was = fx.current(fx.before_run(records)).select("task_name", F.col("did_succeed").alias("was_done"))
-    ran = fx.during_run(records).groupBy("task_name").agg(first.alias("r")).select("task_name", "r.*")
-    names = records.select("task_name", "batch").distinct()
-    items = names.join(was, "task_name", "left").withColumn("was_done", F.coalesce("was_done", F.lit(False)))
-    totals = items.groupBy("batch").agg(F.count_if("was_done").alias("initial"), F.count(F.lit(1)).alias("total"))
-    completions = items.filter("NOT was_done").join(ran, "task_name").select("batch", "task_name", "ts_us", "event_id")
-    return ledgers.progress(completions, totals, order=fx.ORDER).select("batch", "task_name", "done", "total")
+    tasks_of = ledgers.run_records(history_records(spark, sf), ["task_name", "batch"])
+    completions = tasks_of.filter("NOT skipped AND first IS NOT NULL").select("batch", "task_name", "first.*")
+    return ledgers.progress(completions, ledgers.batch_totals(tasks_of), order=fx.ORDER).select("batch", "task_name", "done", "total")
 
 
 # --- sorts, sets ----------------------------------------------------------------
@@ -675,6 +689,47 @@ def u1_apply_batch(spark, sf):
     return results.select("task_name", "did_succeed", "return_code", "cached")
 
 
+def count_rows(rows: int) -> batches.TaskResult:
+    return batches.TaskResult(rows % 2 == 0, rows % 97)
+
+
+@query
+def u2_run_once(spark, sf):
+    """One dataset-level item whose argument comes from the tables; a success on record is not repeated."""
+    rows = fx.table(spark, sf, "orders").count()
+    store = scratch_path(spark, "ledger")
+    known = ledger_store.ledger_current(spark, store)
+    first = batches.run_once(spark, "count", known, count_rows, rows=rows)
+    ledger_store.ledger_record(first.unionByName(first.withColumn("task_name", F.lit("other")).withColumn("did_succeed", F.lit(True))), store, 0)
+    again = batches.run_once(spark, "other", ledger_store.ledger_current(spark, store), count_rows, rows=rows + 1)
+    return first.unionByName(again).select("task_name", "did_succeed", "return_code", "cached")
+
+
+@query
+def u3_cleanup_marks(spark, sf):
+    """Marks that the clean-up of every subject left in the shared folder, read back as rows."""
+    folder = scratch_path(spark, "marks")
+
+    def leave(did_succeed: bool, subject: str) -> None:
+        system, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+        system.create_dir(path, recursive=True)
+        with system.open_output_stream(f"{path}/{subject}.txt") as out:
+            out.write(f"{subject},{did_succeed}\n".encode())
+
+    subjects = batches.name_items(studies.subjects(fx.study(spark, sf)), "anat", ["subject"])
+    nothing = ledger_store.ledger_current(spark, scratch_path(spark, "ledger"))
+    batches.apply_batch(subjects, nothing, check_subject, ["subject"], leave)
+    return spark.read.schema("subject string, did_succeed boolean").csv(folder)
+
+
+@query
+def u4_struct_items(spark, sf):
+    """Items that are one struct, whose fields become named arguments."""
+    items = session_items(spark, sf).select("task_name", F.struct("subject", "session").alias("item"))
+    results = batches.run_items(items, check_session, ["item"])
+    return results.select("task_name", "did_succeed", "return_code")
+
+
 def check_subject(subject: str) -> batches.TaskResult:
     return batches.TaskResult(int(subject) % 4 != 0, 0)
 

@@ -63,6 +63,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def on_default_system(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the default file system, as Spark resolves it; local paths stay plain."""
+    if "://" in path:
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if default.startswith("file:"):
+        return path.removeprefix("file:")
+    return default.rstrip("/") + (path if path.startswith("/") else f"/{path}")
+
+
 def worker_partitions(spark: SparkSession) -> int:
     """Partitions for work whose cost its bytes do not show, such as calls and listings.
 

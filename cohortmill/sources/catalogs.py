@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator, Mapping
 from datetime import datetime, timezone
 from itertools import islice
@@ -13,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cohortmill.functions.entities import parse_entities
-from cohortmill.session import materialise, worker_partitions
+from cohortmill.session import materialise, on_default_system, worker_partitions
 
 FILE_SCHEMA = T.StructType(
     [
@@ -24,11 +25,16 @@ FILE_SCHEMA = T.StructType(
 )
 
 
+_VARIABLE = re.compile(r"\$(?:(\w+)|\{([^}]*)\})")
+
+
 def expand_root(root: str, variables: Mapping[str, str] | None = None) -> str:
-    """A root with ``$VAR`` expanded and the path normalised; a URL keeps its scheme."""
-    for name, value in {**os.environ, **(variables or {})}.items():
-        root = root.replace("${" + name + "}", value)
-    text = os.path.expandvars(root)
+    """A root with ``$NAME`` and ``${NAME}`` expanded once and the path normalised; a URL keeps its scheme.
+
+    Names come from ``variables``, then from the environment; unknown ones stay as they are.
+    """
+    known = {**os.environ, **(variables or {})}
+    text = _VARIABLE.sub(lambda m: known.get(m[1] or m[2], m[0]), root)
     scheme, mark, rest = text.partition("://")
     return scheme + mark + os.path.normpath(rest) if mark else os.path.normpath(text)
 
@@ -47,8 +53,13 @@ def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
     Only names and metadata are read, level by level on the workers: the folders of a
     level are spread over the cluster and listed there, and the result is written
     before the next level starts. The file list never passes through the driver.
+
+    A root without a scheme is looked up where Spark itself would, in the default file
+    system. Links are listed with what they point to, or by themselves where that is missing, and
+    not followed into folders, so a link to a parent ends. Bytes of a name that are no UTF-8
+    come out as replacement characters.
     """
-    base = expand_root(root)
+    base = on_default_system(spark, expand_root(root))
 
     def entries(folder: str) -> Iterator[dict]:
         if "://" in base:
@@ -59,10 +70,17 @@ def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
             return
         with os.scandir(os.path.join(base, folder)) as found:
             for x in found:
-                info = x.stat()
+                try:
+                    info = x.stat()
+                except OSError:
+                    info = x.stat(follow_symlinks=False)
                 when = datetime.fromtimestamp(info.st_mtime, timezone.utc)
-                name = os.path.join(folder, x.name)
-                yield {"path": name, "size": info.st_size, "mtime": when, "is_dir": x.is_dir()}
+                name = os.path.join(folder, x.name).encode(errors="surrogateescape").decode(errors="replace")
+                readable = name == os.path.join(folder, x.name)
+                is_dir = x.is_dir(follow_symlinks=False)
+                if is_dir and not readable:
+                    raise ValueError(f"folder name is not UTF-8: {name}")
+                yield {"path": name, "size": info.st_size, "mtime": when, "is_dir": is_dir}
 
     def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,23 +102,6 @@ def catalog_scan(spark: SparkSession, root: str) -> DataFrame:
             return files
 
 
-def catalog_scan_binary_file(spark: SparkSession, root: str) -> DataFrame:
-    """The same through Spark's binary file source, for file systems only Hadoop knows.
-
-    The pruned schema leaves contents out. Spark keeps the file index on the driver and
-    leaves out empty files and names starting with ``.`` or ``_``; prefer
-    :func:`catalog_scan`.
-    """
-    base = expand_root(root)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    prefix = F.lit(base.partition("://")[2] or base)
-    plain = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(?://)?", "")
-    relative = F.substr(plain, F.instr(plain, prefix) + F.length(prefix) + 1)
-    return files.select(
-        relative.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime")
-    )
-
-
 def load_study(spark: SparkSession, root: str) -> DataFrame:
     """A scanned catalogue with its name parts."""
     return parse_entities(catalog_scan(spark, root))

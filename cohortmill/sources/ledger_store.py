@@ -15,7 +15,8 @@ RECORD_SCHEMA = T.StructType(
         T.StructField("position", T.LongType()),
     ]
 )
-ORDER = ("seq", "recorded_at", "position", "return_code")
+# Time counts first: runs and streams number their records each for themselves.
+ORDER = ("recorded_at", "position", "seq", "did_succeed", "return_code")
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -23,9 +24,14 @@ def _missing(error: AnalysisException) -> bool:
 
 
 def ledger_read(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV ledger with header and fixed types; a missing file is an empty ledger."""
+    """A CSV ledger with header and fixed types; a missing file is an empty ledger.
+
+    A cell that does not fit its type raises when it is read. Quotes inside a quoted name are
+    doubled.
+    """
     try:
-        return spark.read.schema(LEDGER_SCHEMA).option("header", "true").csv(path)
+        reader = spark.read.schema(LEDGER_SCHEMA).option("header", "true").option("mode", "FAILFAST")
+        return reader.option("escape", '"').csv(path)
     except AnalysisException as error:
         if not _missing(error):
             raise
@@ -34,14 +40,14 @@ def ledger_read(spark: SparkSession, path: str) -> DataFrame:
 
 def ledger_write_csv(ledger: DataFrame, path: str) -> None:
     """The ledger in the exchange form :func:`ledger_read` reads."""
-    ledger.select(*LEDGER_SCHEMA.names).write.mode("overwrite").option("header", "true").csv(path)
+    ledger.select(*LEDGER_SCHEMA.names).write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
 
 
 def ledger_record(results: DataFrame, path: str, run: int, token: str | None = None) -> None:
     """Append the outcomes of one run.
 
-    Each run has a folder of its own and later runs win, so recording a run again
-    replaces exactly that run, and writers of different runs do not meet. A ``token``
+    Each run has a folder of its own, so recording a run again replaces exactly that run, and
+    writers of different runs do not meet. Later records win, by time. A ``token``
     keeps apart writers that may have chosen the same number. Results may
     bring a ``recorded_at`` time, which orders repeats of a task inside the run, and a
     ``position`` number for repeats at the same time.

@@ -10,8 +10,6 @@ from cohortmill.operators.manifests import keep_scratch
 
 # Largest size of one packed file, in bytes.
 SLICE_BYTES = 1024 * 1024**2
-# Shards a pack is cut into at most; each is one folder.
-MAX_SHARDS = 4096
 
 
 def shard_of(subject: Column, shards: Column) -> Column:
@@ -46,7 +44,7 @@ def pack(df: DataFrame, path: str, max_bytes: int = SLICE_BYTES) -> None:
     """
     size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
     slices = max(1, -(-size["b"] // max_bytes))
-    shards = min(MAX_SHARDS, slices)
+    shards = slices
     per_file = max(1, size["n"] * max_bytes // max(1, size["b"]))
     cut = df.withColumn("shards", F.lit(shards)).withColumn("shard", shard_of(F.col("subject"), F.col("shards")))
     order = ["shards", "shard", "subject", "session", "path"]

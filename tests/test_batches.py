@@ -74,6 +74,50 @@ def test_second_run_only_repeats_failures(spark, tmp_path):
     assert ok | failed == {f"t_{i:02d}" for i in range(6)} and not ok & failed
 
 
+def test_a_lost_run_goes_on_after_its_last_wave(spark, tmp_path):
+    path, folder = str(tmp_path / "ledger"), tmp_path / "calls"
+    folder.mkdir()
+    items = items_of(spark, 40, folder)
+    seen = []
+
+    def record(results, wave):
+        store.ledger_record(results, path, 0, f"w{wave}")
+        seen.append(results.count())
+        if wave == 1:
+            raise KeyboardInterrupt("the driver dies")
+
+    with pytest.raises(KeyboardInterrupt):
+        batches.apply_batch(items, store.ledger_current(spark, path), mark, ["number", "folder"], partitions=2, record=record, wave_seconds=0.0)
+    assert len(os.listdir(folder)) == sum(seen) < 40
+    known = {r.task_name for r in store.ledger_current(spark, path).filter("did_succeed").collect()}
+    before = set(os.listdir(folder))
+    again = batches.apply_batch(items, store.ledger_current(spark, path), mark, ["number", "folder"])
+    assert again.count() == 40 and again.filter("cached").count() == len(known)
+    calls = {int(f): len((folder / f).read_text()) for f in os.listdir(folder)}
+    assert calls == {i: 1 if f"t_{i:02d}" in known or str(i) not in before else 2 for i in range(40)}
+
+
+def test_exits_and_missing_codes(spark, rows):
+    def stop(number):
+        if number == 1:
+            sys.exit(3)
+        return TaskResult(True, None)
+
+    items = spark.createDataFrame([("a", 0), ("b", 1)], "task_name string, number int")
+    ledger = spark.createDataFrame([], L)
+    results = batches.apply_batch(items, ledger, stop, ["number"])
+    assert rows(results.select("task_name", "did_succeed", "return_code")) == [("a", True, None), ("b", False, -1)]
+    again = batches.apply_batch(items, results.select("task_name", "did_succeed", "return_code"), stop, ["number"])
+    assert rows(again.select("task_name", "cached")) == [("a", True), ("b", False)]
+
+
+def test_items_are_dealt_evenly(spark):
+    items = spark.createDataFrame([(f"item-{i}", i) for i in range(8)], "task_name string, row_number long").repartition(3)
+    where = lambda row_number: TaskResult(True, __import__("pyspark").TaskContext.get().partitionId())
+    got = batches.run_items(items, where, ["row_number"], partitions=8).collect()
+    assert sorted(r.return_code for r in got) == list(range(8))
+
+
 def test_struct_items_become_named_arguments(spark, rows):
     def join(subject, session, extra):
         return TaskResult(True, 0, f"{subject}/{session}/{extra}")

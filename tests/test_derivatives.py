@@ -70,28 +70,40 @@ def test_only_the_gz_suffix_is_cut(spark):
     assert got == {"a/zig.gz": "a/zig", "a/x.nii": None, "a/y.nii.gz": "a/y.nii.gz"}
 
 
-def test_missing_files_are_rows_and_make_the_subject_incomplete(spark, rows):
-    expected = d.predict_derivatives(subjects(spark, "01", "02"), SPEC, [SPACE])
+def found_among(spark, ids, have, spaces, surfaces=False):
+    return d.found_units(subjects(spark, *ids), parse_entities(paths_of(spark, have)), SPEC, spaces, surfaces)
+
+
+def test_a_missing_unit_makes_the_subject_incomplete(spark, rows):
     have = GOLDEN_PATHS + [p.replace("01", "02") for p in GOLDEN_PATHS[1:]]
+    expected = d.predict_derivatives(subjects(spark, "01", "02"), SPEC, [SPACE])
     resolved = d.resolve_with_fallback(expected, paths_of(spark, have))
     assert rows(resolved.filter("NOT found").select("subject", "name")) == [("02", "t1w_mask")]
-    assert rows(d.derivatives_complete(resolved)) == [("01", True), ("02", False)]
-    cache = d.derivative_cache(resolved, [SPACE])
+    everyone, found = subjects(spark, "01", "02", "03"), found_among(spark, ["01", "02", "03"], have, [SPACE])
+    assert rows(d.derivatives_complete(everyone, found, SPEC, [SPACE])) == [("01", True), ("02", False), ("03", False)]
+    cache = d.derivative_cache(everyone, found, SPEC, [SPACE])
     assert rows(cache.select("subject").distinct()) == [("01",)]
     outputs = d.derivative_maps(cache).first().outputs
     assert outputs["template"] == [SPACE]
     assert len(outputs["t1w_tpms"]) == 3 and outputs["t1w_preproc"] == [GOLDEN_PATHS[1]]
 
 
+def test_files_in_a_session_or_with_more_name_parts_count(spark, rows):
+    have = [p.replace("sub-01/anat/sub-01_", "sub-01/ses-1/anat/sub-01_ses-1_run-2_") for p in GOLDEN_PATHS]
+    assert have != GOLDEN_PATHS
+    found = found_among(spark, ["01"], have, [SPACE])
+    assert {r.path for r in found.collect()} == set(have)
+    assert rows(d.derivatives_complete(subjects(spark, "01"), found, SPEC, [SPACE])) == [("01", True)]
+
+
 def test_one_label_of_a_baseline_unit_is_enough_but_surfaces_need_all(spark, rows):
     expected = d.predict_derivatives(subjects(spark, "01"), SPEC, [], surfaces=True)
     every = [r.path for r in expected.collect()]
-    some_label = [p for p in every if "label-GM" not in p]
-    complete = d.derivatives_complete(d.resolve_with_fallback(expected, paths_of(spark, some_label)))
-    assert rows(complete) == [("01", True)]
-    no_pial = [p for p in every if "hemi-R_pial" not in p]
-    complete = d.derivatives_complete(d.resolve_with_fallback(expected, paths_of(spark, no_pial)))
-    assert rows(complete) == [("01", False)]
+    for missing, complete in (("label-GM", True), ("hemi-R_pial", False), ("nothing", True)):
+        have = [p for p in every if missing not in p]
+        found = found_among(spark, ["01"], have, [], surfaces=True)
+        got = d.derivatives_complete(subjects(spark, "01"), found, SPEC, [], surfaces=True)
+        assert rows(got) == [("01", complete)]
 
 
 def test_each_space_has_its_own_transforms():

@@ -69,6 +69,19 @@ def test_relabel_forms_agree_and_unknown_labels_raise(spark, rows):
         labels.relabel(voxels, table.withColumn("new_label", F.lit(40_000))).collect()
 
 
+def test_a_label_listed_twice_counts_once_or_raises(spark, rows):
+    voxels = spark.createDataFrame([(1, 0), (2, 1)], "voxel long, label int")
+    table = spark.createDataFrame([(0, 5), (1, 6), (0, 5)], "label int, new_label int")
+    assert rows(labels.relabel(voxels, table).select("voxel", "label", "new_label")) == [(1, 0, 5), (2, 1, 6)]
+    with pytest.raises(Exception, match="label listed with two values"):
+        labels.relabel(voxels, table.unionByName(spark.createDataFrame([(1, 7)], table.schema))).collect()
+
+
+def test_lists_of_any_length_are_lookup_tables(spark, rows):
+    voxels = spark.createDataFrame([(1, 70_000)], "voxel long, label int")
+    assert labels.relabel(voxels, [7] * 70_001).first().new_label == 7
+
+
 def write_beats(spark, folder, data):
     beats_frame(spark, data).coalesce(1).write.mode("append").parquet(str(folder))
 

@@ -18,6 +18,27 @@ def test_csv_written_elsewhere_is_read(spark, tmp_path, rows):
     assert rows(store.ledger_read(spark, str(path))) == [("f_('01', '02')", True, 0), ("g_1", False, 3)]
 
 
+def test_malformed_cells_raise_and_quoted_names_survive(spark, tmp_path, rows):
+    path = tmp_path / "bad.csv"
+    path.write_text("task_name,did_succeed,return_code\na,True,0\nb,maybe,x\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        store.ledger_read(spark, str(path)).collect()
+    path = tmp_path / "quoted.csv"
+    path.write_text('task_name,did_succeed,return_code\n"(\'func\', ""01"", \'02\')",True,0\n')
+    want = [("('func', \"01\", '02')", True, 0)]
+    assert rows(store.ledger_read(spark, str(path))) == want
+    store.ledger_write_csv(store.ledger_read(spark, str(path)), str(tmp_path / "again"))
+    assert rows(store.ledger_read(spark, str(tmp_path / "again"))) == want
+
+
+def test_time_counts_before_run_numbers(spark, tmp_path, rows):
+    path = str(tmp_path / "mixed")
+    at = lambda ok, when: spark.createDataFrame([("t", ok, 0 if ok else 1, when)], L + ", recorded_at string").withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
+    store.ledger_record(at(False, "2024-01-01 10:00:00"), path, 50)
+    store.ledger_record(at(True, "2024-01-01 11:00:00"), path, 13, "stream")
+    assert rows(store.ledger_current(spark, path).select("task_name", "did_succeed")) == [("t", True)]
+
+
 def test_recording_replaces_the_earlier_record(spark, tmp_path, rows):
     path = str(tmp_path / "store")
     assert store.ledger_current(spark, path).count() == 0

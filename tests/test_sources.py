@@ -58,11 +58,20 @@ def test_probed_manifest(spark, tree, rows):
     assert rows(validate_manifest(probed, path_rules())) == sorted(want, key=repr)
 
 
-def test_binary_file_scan_skips_contents(spark, tree, rows):
-    df = catalogs.catalog_scan_binary_file(spark, str(tree))
-    assert {r.path for r in df.collect()} == {name for name, text in FILES.items() if text}
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
+def test_scan_survives_links_and_odd_names(spark, tree):
+    (tree / "gone").symlink_to(tree / "nothing-here")
+    (tree / "sub-01" / "up").symlink_to(tree)
+    with open(os.path.join(os.fsencode(tree), b"bad-\xff"), "w") as f:
+        f.write("abc")
+    got = {r.path: r["size"] for r in catalogs.catalog_scan(spark, str(tree)).collect()}
+    assert set(got) == {*FILES, "gone", "sub-01/up", "bad-\ufffd"} and got["bad-\ufffd"] == 3
+
+
+def test_roots_expand_once_and_in_both_forms(monkeypatch):
+    monkeypatch.setenv("STUDY_HOME", "/home")
+    given = {"STUDYX": "/x", "Y": "$STUDYX"}
+    assert catalogs.expand_root("$STUDYX/a", given) == catalogs.expand_root("${STUDYX}//./a", given) == "/x/a"
+    assert catalogs.expand_root("/$Y/${STUDY_HOME}/$unknown_name", given) == "/$STUDYX/home/$unknown_name"
 
 
 def test_catalog_is_kept_until_reset(spark, tree, tmp_path):
