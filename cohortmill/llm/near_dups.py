@@ -13,8 +13,9 @@ Candidates of a table bucket are not paired with each other:
    them, and leaves (exact: the intersection is no larger than the shingles that others have).
 2. Every member is confirmed against the bucket's leader, the member with the largest share of common
    shingles. In a group of copies that is near the original, so one comparison each links the group.
-3. Components of these links; only buckets that still hold several components go on, and only their
-   pairs across components are confirmed. A group that is linked already makes no pair.
+3. Two members in different components after that can only be linked if they share a shingle that
+   the leader lacks, or if one of them is smaller than the leader and most of both lies inside it
+   (see :func:`_across`). Both are joins on shingles or sizes, exact and without all pairs of a group.
 
 Confirmation joins the pairs with both full sets and counts the intersection.
 
@@ -133,35 +134,102 @@ def _keys(classes: DataFrame, m: int) -> DataFrame:
     return classes.select("node", F.explode(F.array(*made)).alias("key"))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``a``, ``b`` of ``pairs`` whose full sets reach ``percent``."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with ``a_set`` and ``b_set`` of its ``a`` and ``b``."""
     left = sets.select(F.col("node").alias("a_node"), F.col("shingles").alias("a_set"))
     right = sets.select(F.col("node").alias("b_node"), F.col("shingles").alias("b_set"))
-    fits = F.least(F.size("a_set"), F.size("b_set")) * 100 >= F.greatest(F.size("a_set"), F.size("b_set")) * percent
-    joined = pairs.join(left, F.col("a") == F.col("a_node")).join(right, F.col("b") == F.col("b_node")).where(fits)
+    joined = pairs.join(left, F.col("a") == F.col("a_node")).join(right, F.col("b") == F.col("b_node"))
+    return joined.select(*pairs.columns, "a_set", "b_set")
+
+
+def _set_pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each row both sorted sets, and which of the first are in the second."""
+    flat = [batch.column(c).values.to_numpy().view(np.uint64) for c in ("a_set", "b_set")]
+    ends = [batch.column(c).offsets.to_numpy() for c in ("a_set", "b_set")]
+    for k in range(batch.num_rows):
+        a, b = flat[0][ends[0][k] : ends[0][k + 1]], flat[1][ends[1][k] : ends[1][k + 1]]
+        yield a, b, b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``a``, ``b`` of ``pairs`` whose full sets reach ``percent``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = [batch.column(c).values.to_numpy() for c in ("a_set", "b_set")]
-            ends = [batch.column(c).offsets.to_numpy() for c in ("a_set", "b_set")]
-            linked = np.zeros(batch.num_rows, bool)
-            for k in range(batch.num_rows):
-                a = flat[0][ends[0][k] : ends[0][k + 1]]
-                b = flat[1][ends[1][k] : ends[1][k + 1]]
-                both = np.concatenate([a, b])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                linked[k] = 100 * common >= percent * (len(both) - common)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(linked))
+            linked = [bool(100 * (n := int(same.sum())) >= percent * (len(a) + len(b) - n)) for a, b, same in _set_pairs(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return _with_sets(pairs.select("a", "b"), sets).mapInArrow(run, "a long, b long")
 
-    return joined.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
+
+def confirm_stars(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``stars`` (members ``a`` of leaders ``b``) with ``size``, ``leader_size``, ``common``, ``linked``, ``extras``.
+
+    ``extras`` are the first of the member's shingles that the leader lacks, so many that two members
+    linked through any of them share one of these: a member needs at least ``percent`` of its own size in
+    common with the other, and what the leader does not account for must come from extras.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, leader_sizes, commons, linked, extras = [], [], [], [], []
+            for a, b, same in _set_pairs(batch):
+                n, lacking = int(same.sum()), a[~same]
+                least = max(1, -(-percent * len(a) // 100) - n)
+                sizes.append(len(a))
+                leader_sizes.append(len(b))
+                commons.append(n)
+                linked.append(100 * n >= percent * (len(a) + len(b) - n))
+                extras.append(lacking[: max(0, len(lacking) - least + 1)].view(np.int64))
+            made = [pa.array(x, pa.int64()) for x in (sizes, leader_sizes, commons)]
+            made += [pa.array(linked, pa.bool_()), pa.array(extras, pa.list_(pa.int64()))]
+            own = [batch.column(c) for c in ("a", "b", "shared")]
+            yield pa.RecordBatch.from_arrays([*own, *made], names=["a", "b", "shared", "size", "leader_size", "common", "linked", "extras"])
+
+    out = "a long, b long, shared long, size long, leader_size long, common long, linked boolean, extras array<bigint>"
+    return _with_sets(stars.select("a", "b", "shared"), sets).mapInArrow(run, out)
+
+
+def _across(stars: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of members of one leader in different components that may be linked.
+
+    For members C, A of leader L let c, a be their intersections with L. If both are linked with L they are in
+    one component; so let C not be. |C & A| is at most min(c, a) plus their common extras (not in L), and must
+    be p/(100+p) (|C| + |A|). Without common extras that makes c so large that, C not being linked with L, A is
+    smaller than L and c at least p percent of |C|: few sets qualify but where lengths of near copies vary.
+    With common extras the members meet in a join on (leader, extra), and min(c, a) plus the smaller number of
+    extras that any other candidate has bounds the intersection.
+    """
+    placed = stars.join(found.select(F.col("node").alias("of"), "component"), F.col("a") == F.col("of"), "left")
+    placed = placed.withColumn("component", F.coalesce("component", "a")).drop("of")
+    open_leaders = placed.groupBy(F.col("b").alias("l")).agg((F.min("component") < F.max("component")).alias("open")).where("open").select("l")
+    placed = materialise(placed.join(open_leaders, F.col("b") == F.col("l"), "left_semi"), "open")
+    columns = ["a", "b", "component", "linked", "size", "common", "shared", "leader_size"]
+    x = placed.select(*[F.col(c).alias(f"x_{c}") for c in columns], F.explode("extras").alias("x_h"))
+    y = placed.select(*[F.col(c).alias(f"y_{c}") for c in columns], F.explode("extras").alias("y_h"))
+    apart = (F.col("x_component") != F.col("y_component")) & ~(F.col("x_linked") & F.col("y_linked"))
+    need = percent * (F.col("x_size") + F.col("y_size"))
+    inside = F.least("x_common", "y_common")
+    outside = F.least(F.col("x_shared") - F.col("x_common"), F.col("y_shared") - F.col("y_common"))
+    by_extra = x.join(
+        y,
+        (F.col("x_b") == F.col("y_b")) & (F.col("x_h") == F.col("y_h")) & (F.col("x_a") < F.col("y_a")) & apart & ((100 + percent) * (inside + outside) >= need),
+    )
+    small = placed.select(*[F.col(c).alias(f"x_{c}") for c in columns]).where(~F.col("x_linked") & (F.col("x_common") * 100 >= F.col("x_size") * percent))
+    smaller = placed.select(*[F.col(c).alias(f"y_{c}") for c in columns]).where(F.col("y_size") < F.col("y_leader_size"))
+    by_size = small.join(
+        smaller,
+        (F.col("x_b") == F.col("y_b")) & (F.col("x_a") != F.col("y_a")) & apart & ((100 + percent) * inside >= need),
+    )
+    both = by_extra.select("x_a", "y_a").unionByName(by_size.select("x_a", "y_a"))
+    return both.select(F.least("x_a", "y_a").alias("a"), F.greatest("x_a", "y_a").alias("b")).distinct()
 
 
 def _links(docs: DataFrame, classes: DataFrame, m: int, percent: int) -> DataFrame:
     """``node``, ``component`` of the classes that are linked with another one."""
     keys = _keys(classes, m)
-    shared = keys.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    members = materialise(keys.join(shared, F.col("key") == F.col("k")).select("key", "node"), "members")
+    met = keys.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
+    members = materialise(keys.join(met, F.col("key") == F.col("k")).select("key", "node"), "members")
     candidates = members.select(F.col("node").alias("of")).distinct()
     texts = docs.select("doc_id", "text").join(candidates, F.col("doc_id") == F.col("of"), "left_semi")
     sets = materialise(full_sets(texts).where(F.size("shingles") > 0).distinct(), "sets")
@@ -170,28 +238,18 @@ def _links(docs: DataFrame, classes: DataFrame, m: int, percent: int) -> DataFra
     counted = sets.select("node", F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("owner"))
     alone = counted.where("n = 1").groupBy("owner").agg(F.count(F.lit(1)).alias("alone"))
     sizes = sets.select("node", F.size("shingles").alias("size"))
-    common = F.col("size") - F.coalesce("alone", F.lit(0))
-    able = sizes.join(alone, F.col("node") == F.col("owner"), "left").where(common * 100 >= F.col("size") * percent)
-    able = able.select(F.col("node").alias("of"), (common / F.col("size")).alias("share"))
-    members = materialise(members.join(able, F.col("node") == F.col("of")).select("key", "node", "share"), "members")
+    shared = F.col("size") - F.coalesce("alone", F.lit(0))
+    able = sizes.join(alone, F.col("node") == F.col("owner"), "left").where(shared * 100 >= F.col("size") * percent)
+    able = able.groupBy(F.col("node").alias("of")).agg(F.max(shared).alias("shared"), F.max(shared / F.col("size")).alias("share"))
+    members = materialise(members.join(able, F.col("node") == F.col("of")).select("key", "node", "shared", "share"), "members")
 
     leaders = members.groupBy(F.col("key").alias("k")).agg(F.max(F.struct("share", -F.col("node"))).alias("top"), F.count(F.lit(1)).alias("n"))
-    leaders = leaders.where("n > 1").select("k", (-F.col("top.col2")).alias("leader"))
-    stars = members.join(leaders, F.col("key") == F.col("k")).where("node <> leader")
-    stars = stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    first = materialise(confirm(stars, sets, percent), "links")
-    found = components(first)
-
-    # What the leaders did not link: pairs across components in one bucket.
-    placed = members.join(found.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-    placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = placed.groupBy(F.col("key").alias("k")).agg((F.min("component") < F.max("component")).alias("open")).where("open").select("k")
-    rest = materialise(placed.join(open_keys, F.col("key") == F.col("k")).select("key", "node", "component"), "rest")
-    other = rest.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("component").alias("c"))
-    pairs = rest.join(other, F.col("key") == F.col("k")).where((F.col("node") < F.col("b")) & (F.col("component") != F.col("c")))
-    pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
-    second = materialise(confirm(pairs, sets, percent), "links")
-    return components(first.unionByName(second))
+    leaders = leaders.where("n > 1").select("k", (-F.col("top.col2")).alias("b"))
+    stars = members.join(leaders, F.col("key") == F.col("k")).where("node <> b").select(F.col("node").alias("a"), "b", "shared").distinct()
+    stars = materialise(confirm_stars(stars, sets, percent), "stars")
+    first = stars.where("linked").select("a", "b")
+    second = confirm(_across(stars, components(first), percent), sets, percent)
+    return components(first.unionByName(materialise(second, "links")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
