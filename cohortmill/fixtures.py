@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cohortmill.functions.entities import parse_entities
 from cohortmill.operators.derivatives import derivative_path, expand_spaces
 from cohortmill.operators.ledgers import latest_record
+from cohortmill.session import scratch_path
+from cohortmill.sources.catalogs import catalog_save
 from cohortmill.sources.spec import DerivativeSpec
 
 SPACES = ("MNI152NLin2009cAsym", "MNI152NLin6Asym")
@@ -57,8 +59,21 @@ def study_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select(name.alias("path"), "size", "mtime")
 
 
+# Where keep_study has stored the catalogue of a folder of tables.
+_KEPT: dict[str, str] = {}
+
+
+def keep_study(spark: SparkSession, sf_dir: str) -> None:
+    """Store the catalogue of these tables; :func:`study` reads it from then on."""
+    path = scratch_path(spark, "study")
+    catalog_save(parse_entities(study_files(spark, sf_dir)), path)
+    _KEPT[sf_dir] = path
+
+
 def study(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue with its name parts."""
+    if sf_dir in _KEPT:
+        return spark.read.parquet(_KEPT[sf_dir])
     return parse_entities(study_files(spark, sf_dir))
 
 

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Layout of a listing and of the paths in it.
-HEADER_LINES = 2
-MEMBER_PATTERN = r"^sub-([^/]+)(?:/ses-([^/]+))?(/anat/[^.]+_T1w\.nii(?:\.gz)?)?"
+# What marks an anatomical member.
+ANAT_FOLDER, ANAT_ENDINGS = "/anat/", ("_T1w.nii", "_T1w.nii.gz")
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -18,8 +17,24 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-def _part(member: Column, group: int) -> Column:
-    return F.nullif(F.regexp_extract(member, MEMBER_PATTERN, group), F.lit(""))
+def _level(member: Column, depth: int, prefix: str) -> Column:
+    """The id in the folder at ``depth`` of a member path, null where another kind of name stands there."""
+    name = F.get(F.split(member, "/"), F.lit(depth))
+    return F.when(F.startswith(name, F.lit(prefix)) & (F.length(name) > len(prefix)), F.substr(name, F.lit(len(prefix) + 1)))
+
+
+def _anat_path(member: Column, session: Column) -> Column:
+    """What follows the subject and session of an anatomical image, up to its extension, else null."""
+    depth = F.when(session.isNull(), 1).otherwise(2)
+    rest = F.concat(F.lit("/"), F.array_join(F.slice(F.split(member, "/"), depth + 1, 1 << 20), "/"))
+    stem = F.substring_index(rest, ".", 1)
+    # The name has no dot before its extension; what comes after the extension does not count.
+    image = F.startswith(rest, F.lit(ANAT_FOLDER)) & F.endswith(stem, F.lit("_T1w")) & (F.length(stem) > len(ANAT_FOLDER) + len("_T1w"))
+    found = F.lit(None).cast("string")
+    for ending in ANAT_ENDINGS:
+        whole = F.concat(stem, F.lit(ending.removeprefix("_T1w")))
+        found = F.when(image & F.startswith(rest, whole), whole).otherwise(found)
+    return found
 
 
 def listing_ingest(lines: DataFrame) -> DataFrame:
@@ -30,12 +45,9 @@ def listing_ingest(lines: DataFrame) -> DataFrame:
     """
     member = F.regexp_extract("line", r"(\S+)\s*$", 1)
     members = lines.select(member.alias("member")).filter(F.startswith("member", F.lit("sub-")))
+    parts = members.select("member", _level(F.col("member"), 0, "sub-").alias("subject"), _level(F.col("member"), 1, "ses-").alias("session"))
     return (
-        members.select(
-            _part(F.col("member"), 1).alias("subject"),
-            _part(F.col("member"), 2).alias("session"),
-            _part(F.col("member"), 3).alias("anat_path"),
-        )
+        parts.select("subject", "session", _anat_path(F.col("member"), F.col("session")).alias("anat_path"))
         .distinct()
         .orderBy("subject", "session", "anat_path")
     )
