@@ -180,6 +180,16 @@ ORACLES: dict[str, str] = {
         SELECT path, subject, session, size FROM study s
         WHERE EXISTS (SELECT 1 FROM wanted w WHERE w.subject = s.subject
                       AND (s.session IS NULL OR w.session = s.session))""",
+    "s6_extract_subject": f"""WITH {SESSIONS}
+        SELECT path, subject, session, size FROM study WHERE subject = (SELECT min(subject) FROM anat_subjects)""",
+    "s7_extract_some_sessions": f"""WITH {SESSIONS},
+        one AS (SELECT subject, min(session) AS a, max(session) AS b FROM bold GROUP BY subject ORDER BY subject LIMIT 1)
+        SELECT path, s.subject, session, size FROM study s JOIN one ON one.subject = s.subject
+        WHERE session IS NULL OR session = a OR session = b""",
+    "s4_pack_contents": """
+        SELECT concat('sub-', source, '/ses-', doc_id, '/text.txt') AS path,
+               CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS size, sha256(coalesce(text, '')) AS sha256
+        FROM documents""",
     "s8_sync_plan": f"""WITH {TARGET}
         SELECT s.path, s.size, CASE WHEN t.path IS NULL THEN 'absent' ELSE 'changed' END AS reason
         FROM study s LEFT JOIN target t ON t.path = s.path WHERE t.path IS NULL OR t.size <> s.size""",

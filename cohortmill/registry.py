@@ -106,6 +106,37 @@ def s7_extract_sessions(spark, sf):
     return packs.extract_many(spark, path, wanted).select("path", "subject", "session", "size")
 
 
+@query
+def s6_extract_subject(spark, sf):
+    first = studies.subjects(fx.study(spark, sf)).agg(F.min("subject")).first()[0]
+    return packs.extract_subject(spark, _packed(spark, sf), first).select("path", "subject", "session", "size")
+
+
+@query
+def s7_extract_some_sessions(spark, sf):
+    """The first and last functional session of the subject that comes first."""
+    have = studies.sessions(fx.study(spark, sf)).groupBy("subject").agg(F.min("session").alias("a"), F.max("session").alias("b"))
+    one = have.orderBy("subject").first()
+    chosen = packs.extract_sessions(spark, _packed(spark, sf), one["subject"], {one["a"], one["b"]})
+    return chosen.select("path", "subject", "session", "size")
+
+
+@query
+def s4_pack_contents(spark, sf):
+    """Files with their contents, packed and read back whole."""
+    content = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    documents = fx.table(spark, sf, "documents").select(
+        F.col("source").alias("subject"),
+        F.col("doc_id").cast("string").alias("session"),
+        F.concat(F.lit("sub-"), "source", F.lit("/ses-"), F.col("doc_id").cast("string"), F.lit("/text.txt")).alias("path"),
+        F.octet_length(content).cast("long").alias("size"),
+        content.alias("content"),
+    )
+    path = scratch_path(spark, "pack")
+    packs.pack(documents, path, max_bytes=1 << 20)
+    return packs.extract_all(spark, path).select("path", "size", F.sha2("content", 256).alias("sha256"))
+
+
 @query
 def s8_sync_plan(spark, sf):
     plan = manifests.sync_plan(fx.study_files(spark, sf), fx.study_target(spark, sf))

@@ -7,6 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortmill.operators.manifests import keep_scratch
+from cohortmill.session import MAX_BROADCAST_ROWS, materialise
 
 # Largest size of one packed file, in bytes.
 SLICE_BYTES = 1024 * 1024**2
@@ -98,11 +99,32 @@ def extract_sessions(
     return extract_subject(spark, path, subject).filter(wanted)
 
 
+def _read_wanted(spark: SparkSession, path: str, wanted: DataFrame, keys: Collection[str]) -> DataFrame:
+    """Rows of a pack whose ``keys`` (null equals null) are in ``wanted``, and the dataset-level rows; one scan.
+
+    Wanted rows carry their folder. While they are few, by count, they are broadcast, and Spark
+    prunes folders by them at run time (it looks for a comparison on that side, hence the one that
+    all rows pass); many wanted rows touch most folders anyway.
+    """
+    packed = _open(spark, path)
+    one = packed.select("shards").first()
+    if one is None:
+        return packed.drop("shards", "shard")
+    shared = wanted.sparkSession.range(1).select(*[F.lit(None).cast("string").alias(k) for k in keys])
+    rows = wanted.select(*keys).unionByName(shared).distinct()
+    rows = rows.select(shard_of(F.col("subject"), F.lit(one["shards"])).alias("w_shard"), *[F.col(k).alias(f"w_{k}") for k in keys])
+    condition = F.col("shard") == F.col("w_shard")
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"w_{key}"))
+    rows = materialise(rows, "wanted")
+    few = rows.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    rows = rows.filter("w_shard >= -1")
+    return packed.join(F.broadcast(rows) if few else rows, condition, "left_semi").drop("shards", "shard")
+
+
 def extract_subjects(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """Rows of every subject in a table, and the dataset-level rows, as one join."""
-    packed = extract_all(spark, path)
-    mine = packed.join(wanted.select("subject").distinct(), "subject", "left_semi")
-    return mine.unionByName(packed.filter("subject IS NULL"))
+    return _read_wanted(spark, path, wanted.filter("subject IS NOT NULL"), ["subject"])
 
 
 def extract_many(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
@@ -110,13 +132,8 @@ def extract_many(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame
 
     ``wanted`` is a table of pairs, so any number of extractions is one join.
     """
-    packed = extract_all(spark, path)
-    exact = packed.join(wanted.select("subject", "session").distinct(), ["subject", "session"], "left_semi")
-    level = packed.filter("session IS NULL AND subject IS NOT NULL")
-    shared = level.join(wanted.select("subject").distinct(), "subject", "left_semi")
-    return exact.unionByName(shared.select(*exact.columns)).unionByName(
-        packed.filter("subject IS NULL").select(*exact.columns)
-    )
+    pairs = wanted.filter("subject IS NOT NULL").select("subject", "session")
+    return _read_wanted(spark, path, pairs.unionByName(pairs.withColumn("session", F.lit(None).cast("string"))), ["subject", "session"])
 
 
 def rewrite_scratch(scratch: DataFrame, results: DataFrame, path: str) -> None:
