@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortmill.operators.batches import Cleanup, TaskFunction, apply_batch, name_items
 from cohortmill.operators.ledgers import stage_gate, survivors
+from cohortmill.operators.manifests import manifest_passes, path_rules
 from cohortmill.operators.studies import first_sessions_list, session_index, sessions, subject_session_pairs, subjects
 from cohortmill.session import materialise
-from cohortmill.sources.documents import session_filters
+from cohortmill.sources.documents import session_filters, write_session_filters
 from cohortmill.sources.ledger_store import ledger_current, ledger_record, ledger_records
 
 # The code a run stops with, by stage, and the sessions a stage gets.
@@ -124,21 +125,38 @@ def stage_items(catalog: DataFrame, passed: DataFrame, name: str, level: str) ->
 
 
 def run_study(
-    spark: SparkSession, catalog: DataFrame, ledger_path: str, granularity: str, stages: Mapping[str, Stage]
+    spark: SparkSession,
+    catalog: DataFrame,
+    ledger_path: str,
+    granularity: str,
+    stages: Mapping[str, Stage],
+    manifest: DataFrame | None = None,
+    filters_path: str | None = None,
 ) -> StudyRun:
     """Run the given stages of a granularity in order; stages left out are skipped.
 
     Each stage is one job whose outcomes are written before the next is planned; the
-    gates are the only rows read on the driver.
+    gates are the only rows read on the driver. A ``manifest`` of probed paths must pass its
+    rules before anything runs. With ``filters_path`` the filter documents of the sessions that
+    got through the anatomical stage are written there before a session stage reads them.
     """
     run = StudyRun()
+    if manifest is not None and not manifest_passes(manifest, path_rules()).first()["passes"]:
+        raise StudyStopped("validate")
     passed = materialise(subjects(catalog), "subjects")
     if passed.isEmpty():
         raise StudyStopped("discover")
     for name, level in STAGES[granularity]:
-        if name not in stages:
+        writes = name == "session_filter" and filters_path is not None
+        if name not in stages and not writes:
             continue
         items = stage_items(catalog, passed, name, level)
+        if writes:
+            items = materialise(items, "filters")
+            write_session_filters(items, filters_path)
+            passed = items
+        if name not in stages:
+            continue
         keys = {"dataset": [], "subject": ["subject"], "session": ["subject", "session"]}[level]
         run.results[name], after = run_stage(spark, name, items, stages[name], keys, ledger_path)
         passed = passed if level == "dataset" else after

@@ -179,6 +179,25 @@ def test_session_run_narrows_to_survivors(spark, tmp_path, rows):
     ]
 
 
+def test_filters_are_written_for_the_sessions_that_got_through(spark, tmp_path, rows):
+    stages = {
+        "anatomical": Stage(lambda subject: TaskResult(subject == "01", 0)),
+        "session_functional": Stage(lambda filter_json: TaskResult("session" in filter_json, 0), arguments=["filter_json"]),
+    }
+    out = str(tmp_path / "filters")
+    run = staged.run_study(spark, study_catalog(spark), str(tmp_path / "l"), "session", stages, filters_path=out)
+    written = spark.read.text(out)
+    assert written.count() == 2 and run.passed.count() == 2
+    assert {(int(r.subject), int(r.session)) for r in written.collect()} == {(1, 1), (1, 4)}
+
+
+def test_a_broken_manifest_stops_the_run_first(spark, tmp_path):
+    manifest = spark.createDataFrame([("a", "input_dir", None, "dir")], "path string, role string, kind string, parent_kind string")
+    with pytest.raises(staged.StudyStopped) as stopped:
+        staged.run_study(spark, study_catalog(spark), str(tmp_path / "l"), "session", {}, manifest=manifest)
+    assert stopped.value.code == 1
+
+
 def test_run_stops_with_the_stage_code(spark, tmp_path):
     stages = {"subject_quality": Stage(lambda subject: TaskResult(False, 1))}
     with pytest.raises(staged.StudyStopped) as stopped:
