@@ -23,6 +23,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill.session import materialise
+
 FEATURES = 1 << 14
 NGRAMS = (2, 3, 4)
 # Labelled examples of each label that training may use, about.
@@ -122,4 +124,5 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's url."""
     host, path = url_parts(F.col("url"))
     urls = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", host.alias("host"), path.alias("path"))
-    return judge(urls, train(rule_labels(urls)))
+    # The labels are few; written once, training reads them instead of all urls each time.
+    return judge(urls, train(materialise(rule_labels(urls), "labels")))

@@ -183,6 +183,13 @@ def test_base_spans_equal_brute_force_and_stay(spark):
     assert [SECRETS[7][s["start"] : s["end"]] for s in seven.found] == ["x7Kq9!zPw2&vT"]
 
 
+def test_no_documents_have_no_secrets(spark):
+    assert secrets.find_secrets(no_docs(spark), {"word": 1}).count() == 0
+    assert secrets.find_secrets(odd_docs(spark), {"word": 1}).count() == len(odd_rows())
+    with pytest.raises(ValueError, match="may be broadcast"):
+        secrets.find_secrets(no_docs(spark), dict.fromkeys(map(str, range(secrets.MAX_WORDS + 1)), 1))
+
+
 def test_query_on_whole_documents(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = QUERIES["op6_secrets"](spark, SF).collect()
