@@ -70,10 +70,12 @@ MESSY = r"//|/$|(?:^|/)\.\.?(?:/|$)|^$"
 def normalise_path(path: Column, variables: Mapping[str, str] | None = None) -> Column:
     """Expand variables, fold repeated and dotted parts, drop a trailing slash.
 
-    The fold runs only on paths that need it; clean paths pass through.
+    Repeated slashes and single dots are replaced as text; the fold runs only on what still needs it,
+    such as a ``..``.
     """
-    expanded = expand_variables(path, variables or {})
-    return _bind(expanded, lambda p: F.when(p.rlike(MESSY), collapse_dots(p)).otherwise(p))
+    short = F.regexp_replace(expand_variables(path, variables or {}), r"/(?:\.?/)+", "/")
+    short = F.regexp_replace(F.regexp_replace(short, r"^(?:\./)+", ""), r"(?<=[^/])/\.?$", "")
+    return _bind(short, lambda p: F.when(p.rlike(MESSY), collapse_dots(p)).otherwise(p))
 
 
 def glob_regex(glob: str) -> str:

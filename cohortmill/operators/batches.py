@@ -146,7 +146,7 @@ def apply_batch(
     spark = items.sparkSession
     done = ledger.filter("did_succeed").groupBy("task_name").agg(F.max("return_code").alias("_code"), F.lit(True).alias("_done"))
     flagged = materialise(items.dropDuplicates(["task_name"]).join(done, "task_name", "left"), "items")
-    todo = materialise(number_rows(flagged.filter("_done IS NULL").drop("_code", "_done"), ["task_name"]), "todo")
+    todo = number_rows(flagged.filter("_done IS NULL").drop("_code", "_done"), ["task_name"])
     total = todo.agg(F.coalesce(F.max("n_rows"), F.lit(0))).first()[0]
     slots, folder = partitions or worker_partitions(spark), scratch_path(spark, "batch")
     start, size, wave = 0, 4 * slots, 0
@@ -154,7 +154,7 @@ def apply_batch(
         began = time.monotonic()
         mine = todo.filter((F.col("row_number") >= start) & (F.col("row_number") < start + size))
         here = f"{folder}/wave={wave}"
-        run_items(mine, fn, arguments, cleanup, min(size, 16 * slots)).write.parquet(here)
+        run_items(mine, fn, arguments, cleanup, 4 * slots).write.parquet(here)
         if record is not None:
             record(spark.read.schema(RESULT_SCHEMA).parquet(here), wave)
         took = time.monotonic() - began

@@ -1,3 +1,7 @@
+import posixpath
+import random
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -78,6 +82,15 @@ def test_normalise_path(spark, raw, clean):
     assert df.select(normalise_path(F.col("p"), {"X": "/x$Y"})).first()[0] == clean
 
 
+def test_normalised_paths_equal_the_standard_ones(spark):
+    rng = random.Random(3)
+    raw = sorted({"".join(rng.choice(["a", ".", ".", "/", "/", "b"]) for _ in range(rng.randint(0, 9))) for _ in range(3000)})
+    got = spark.createDataFrame([(p,) for p in raw], "p string").select("p", normalise_path(F.col("p")).alias("n")).collect()
+    wrong = [(r.p, r.n) for r in got if r.n != re.sub("^//", "/", posixpath.normpath(r.p))]
+    assert not wrong, wrong[:5]
+
+
+
 def test_ignore_patterns(spark):
     paths = {
         "sub-01.html": True,
