@@ -24,8 +24,6 @@ def build_session(master: str | None = None, app: str = "cohortmill", **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # A table partitioned by subject must not serve an aggregate by subject and session.
-        "spark.sql.requireAllClusterKeysForDistribution": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }
