@@ -128,10 +128,24 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
 
 def _keys(classes: DataFrame, m: int) -> DataFrame:
-    """``key``, ``node`` for every class and table: a key for every pair of collections."""
-    c = F.col("collections")
-    made = [F.xxhash64(F.lit(i * m + j), c[i], c[j]) for i in range(m) for j in range(i + 1, m)]
-    return classes.select("node", F.explode(F.array(*made)).alias("key"))
+    """``key``, ``node`` for every class and table that may hold another class: a key for every pair of collections.
+
+    Two classes agree in a pair only if they agree in both of its collections, so collections that one class
+    alone has make no keys; m rows a class find them, where all keys would be m(m-1)/2.
+    """
+    each = classes.select("node", F.posexplode("collections").alias("i", "c"))
+    met = each.groupBy(F.col("i").alias("met_i"), F.col("c").alias("met_c")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    kept = each.join(met, (F.col("i") == F.col("met_i")) & (F.col("c") == F.col("met_c")))
+    # At most m collections a class.
+    own = kept.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("i", "c"))).alias("own")).where(F.size("own") > 1)
+    pairs = F.transform(
+        "own",
+        lambda x, at: F.transform(
+            F.slice(F.col("own"), at + 2, m),
+            lambda y: F.xxhash64(x["i"] * m + y["i"], x["c"], y["c"]),
+        ),
+    )
+    return own.select("node", F.explode(F.flatten(pairs)).alias("key"))
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
