@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortmill.session import MAX_BROADCAST_ROWS
+from cohortmill.session import MAX_BROADCAST_ROWS, materialise
 from cohortmill.sources.spec import DerivativeSpec
 
 
@@ -154,8 +154,10 @@ def derivative_cache(
 ) -> DataFrame:
     """Outputs of the complete subjects in long form ``subject, name, space, path``.
 
-    The requested spaces are listed under the name ``template``.
+    The requested spaces are listed under the name ``template``. ``found`` is written once, as both
+    the decision and the outputs read it.
     """
+    found = materialise(found, "found")
     complete = derivatives_complete(subjects, found, spec, spaces, surfaces).filter("complete").select("subject")
     templates = complete.select(
         "subject",
