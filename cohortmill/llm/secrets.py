@@ -89,6 +89,23 @@ def _near(a: str, b: str) -> bool:
     return x is not None and y is not None and x != y and abs(x[0] - y[0]) <= 1 and abs(x[1] - y[1]) <= 1
 
 
+def _add_start(starts: list[tuple[float, int]], cost: float, end: int, least: int) -> None:
+    """Add the start of the piece of ``least`` characters that ends at ``end``; drop starts that can't be the cheapest any more.
+
+    A piece from a start costs ``cost`` and the logarithm of its length. What a later start saves by its shorter
+    length only shrinks as ``end`` moves on, so one that an earlier start beats stays beaten, and a later start
+    that costs no more beats an earlier one always. Starts and costs rise together in what is left.
+    """
+    while starts and starts[-1][0] >= cost:
+        starts.pop()
+    starts.append((cost, end - least))
+    kept: list[tuple[float, int]] = []
+    for own, start in starts:
+        if not (kept and kept[-1][0] + math.log10(end - kept[-1][1]) <= own + math.log10(end - start)):
+            kept.append((own, start))
+    starts[:] = kept
+
+
 def guess_log10(value: str, words: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
     """Least log10 of guesses over all segmentations of ``value``, and the segmentation.
 
@@ -109,6 +126,9 @@ def guess_log10(value: str, words: dict[str, int]) -> tuple[float, list[tuple[st
     # Lengths of the walk and of the run of one character that end at each position.
     walk = [1] * (n + 1)
     run = [1] * (n + 1)
+    # Starts inside the present walk and run that may still be the cheapest, with their cost there.
+    walks: list[tuple[float, int]] = []
+    runs: list[tuple[float, int]] = []
     for end in range(1, n + 1):
         if end > 1:
             walk[end] = walk[end - 1] + 1 if _near(lower[end - 2], lower[end - 1]) else 1
@@ -122,10 +142,14 @@ def guess_log10(value: str, words: dict[str, int]) -> tuple[float, list[tuple[st
         cost, start = min(brute[end - 1], (best[end - 1] + (piece if end > 1 else 0.0), end - 1))
         brute[end] = cost + place, start
         best[end], back[end] = brute[end][0], ("brute", start)
-        if run[end] >= 3:
-            offer("repeat", end - run[end], place + math.log10(run[end]))
-        if walk[end] >= 4:
-            offer("walk", end - walk[end], math.log10(len(_SPOT)) + math.log10(walk[end]) + walk[end] / 3)
+        for kind, length, starts, least, first, each in (("repeat", run[end], runs, 3, place, 0.0), ("walk", walk[end], walks, 4, math.log10(len(_SPOT)), 1 / 3)):
+            if length <= least:
+                starts.clear()
+            if length >= least:
+                start = end - least
+                _add_start(starts, best[start] + (piece if start else 0.0) - each * start, end, least)
+                for _, start in starts:
+                    offer(kind, start, first + math.log10(end - start) + each * (end - start))
         for start in range(max(0, end - LONGEST), end - 2):
             text = plain[start:end]
             rank = words.get(text) or words.get(lower[start:end])

@@ -231,6 +231,51 @@ def test_guess_cost_is_the_least_over_segmentations():
         assert secrets.guess_log10(value, words)[0] == pytest.approx(brute_guesses(value, words))
 
 
+def brute_all_guesses(value, words):
+    """Least cost over all cuts into words, dates, repeats, walks from any start, and brute-force spans."""
+    place, best = math.log10(secrets._cardinality(value)), [0.0]
+    for end in range(1, len(value) + 1):
+        costs = []
+        for start in range(end):
+            own, more = value[start:end], best[start] + (math.log10(2) if start else 0.0)
+            size = end - start
+            costs.append(more + place * size)
+            if own in words:
+                costs.append(more + math.log10(words[own]))
+            if 4 <= size <= 10 and secrets._DATE.match(own):
+                costs.append(more + math.log10(365 * 150 if size > 4 else 150))
+            if size >= 3 and len(set(own)) == 1:
+                costs.append(more + place + math.log10(size))
+            if 4 <= size <= secrets.LONGEST and size % 2 == 0 and own[: size // 2] == own[size // 2 :]:
+                costs.append(more + max(0.0, best[start + size // 2] - best[start]) + math.log10(2))
+            if size >= 4 and all(secrets._near(a, b) for a, b in zip(own, own[1:], strict=False)):
+                costs.append(more + math.log10(len(secrets._SPOT)) + math.log10(size) + size / 3)
+        best.append(min(costs))
+    return best[-1]
+
+
+def test_guess_cost_with_walks_repeats_and_dates_is_the_least_over_segmentations():
+    words = {"password": 2, "summer": 40, "were": 30, "asd": 9, "pop": 500, "treewqa": 1}
+    rng = random.Random(4)
+    parts = [*words, "fghjkl", "rtyu", "ffff", "sss", "qwerty", "1999", "31.12.2001", "w", "e", "r", "x", "7"]
+    values = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(600)]
+    near = {c: [d for d in secrets._SPOT if secrets._near(c, d) and d.isalpha()] for c in secrets._SPOT}
+    for n in (30, 60, 120):
+        walk = [rng.choice("asdfgh")]
+        while len(walk) < n:
+            walk.append(rng.choice(near[walk[-1]]))
+        values += ["".join(walk), "summer" + "".join(walk), "were" * (n // 4), "x" * n, "as" * n + "treewqa" + "".join(walk)]
+    for value in values:
+        assert secrets.guess_log10(value, words)[0] == pytest.approx(brute_all_guesses(value, words)), value
+
+
+def test_words_that_touch_a_walk_stay_cheap():
+    words = secrets.words_of_vocabulary(secrets.vocabulary_path())
+    for value, cost in (("passwordfghjkl", 8.7), ("summerfghjkl", 7.3), ("passwordrtyu", 7.9)):
+        assert secrets.guess_log10(value, words)[0] == pytest.approx(cost, abs=0.06)
+    assert secrets.added_spans("pwd=summerfghjkl", [], words) == []
+
+
 def test_common_values_cost_less_than_random_ones():
     words = secrets.words_of_vocabulary(secrets.vocabulary_path())
     cost = lambda v: secrets.guess_log10(v, words)[0]
