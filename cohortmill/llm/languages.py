@@ -141,8 +141,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     return fit(marks, labels)
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, from ``text`` alone; columns of these names are replaced."""
+def identify(docs: DataFrame, model: Model | None, lettered: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, from ``text`` alone; columns of these names are replaced.
+
+    With ``lettered`` only texts that have a letter, whatever their language.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -169,16 +172,17 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 score[some] = values[np.arange(len(some)), best]
                 for row, k in enumerate(some):
                     predicted[k] = model.languages[best[row]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(predicted, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
+            made = pa.RecordBatch.from_arrays([*batch.columns, pa.array(predicted, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
+            yield made.filter(pa.array(map(has_letter, texts), pa.bool_())) if lettered else made
 
     return kept.mapInArrow(run, schema)
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Rows whose text has a language; the columns stay."""
+    """Rows whose text has a letter, also where no model is or the model calls them ``und``; the columns stay."""
     columns = docs.columns
     docs, back = set_aside(docs, "lang_pred", "score")
-    known = identify(docs, model).where(F.col("lang_pred") != UNKNOWN)
+    known = identify(docs, model, lettered=True)
     return known.drop("lang_pred", "score").withColumnsRenamed(back).select(*columns)
 
 

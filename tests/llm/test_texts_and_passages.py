@@ -146,6 +146,16 @@ def test_odd_texts_have_defined_languages(spark):
     assert {r.lang_pred for r in languages.identify(docs, None).collect()} == {"und"}
 
 
+def test_only_texts_without_a_letter_go(spark):
+    texts = {1: "plain words", 2: "1234 !!!", 3: None, 4: "", 5: "é", 6: "more words of it"}
+    lettered = [1, 5, 6]
+    for lang in (None, "und"):
+        docs = spark.createDataFrame([(i, t, lang) for i, t in texts.items()], "doc_id long, text string, lang string")
+        model = languages.train(docs)
+        assert (model is None) == (lang is None)
+        assert sorted(r.doc_id for r in languages.accepted(docs, model).collect()) == lettered
+
+
 # --- secrets --------------------------------------------------------------------
 
 
