@@ -6,6 +6,11 @@ windows with the same lines, wherever they are, the first one (by doc_id, then t
 position) stays; every later one covers its three lines, and covered lines go. Overlapping
 windows merge, so a passage of any length from three lines on goes as a whole.
 
+The query has no other windows, as its SQL states. In the pipeline (``whole``) a document of one or two lines
+that are not blank has one window more, of those lines, which covers the whole document. With ``cut``, which
+neither uses, pieces take the place of lines: a line of more than ``PIECE`` words is cut at the first sentence end
+after ``SHORTEST - 1`` words, or else after ``PIECE`` words, so a line of over 50 words is four pieces at least.
+
 Windows are compared by 128 bits of hash. Only hashes, keys and positions go through the
 exchange by window, folded per task for the search of the first; texts move once, to meet
 their own covered positions.
@@ -13,25 +18,39 @@ their own covered positions.
 Native: expressions, aggregates and joins only.
 
 Defined cases: a null text stays null, an empty one empty; fewer than three lines have no window
-and stay; rows with the same doc_id and text are one document and get one result each; null
+and stay (without ``whole``); rows with the same doc_id and text are one document and get one result each; null
 doc_ids come first; extra columns pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortmill.llm.texts import set_aside
 
 WINDOW = 3
+#: Words of a piece of a cut line: at most, and at least where a sentence ends.
+PIECE = 16
+SHORTEST = 8
 _BLANKS = " \t\r"
+_LONG = rf"(?:\S++\s++){{{PIECE}}}\S"
+_SENTENCES = rf"(?:\S++\s++){{{SHORTEST - 1},{PIECE - 1}}}?\S++(?<=[.!?…][\"')\]»”]?)(?:\s++|\z)"
+_PIECES = rf"\s*+(?:{_SENTENCES}|(?:\S++(?:\s++|\z)){{1,{PIECE}}}+)|\s++"
+#: Start of the window that is a whole document.
+_WHOLE = -1
+
+
+def _pieces(line: Column) -> Column:
+    """``line`` in pieces, all its characters in order."""
+    return F.when(F.regexp_like(line, F.lit(_LONG)), F.regexp_extract_all(line, F.lit(_PIECES), F.lit(0))).otherwise(F.array(line))
 
 
-def _windows(docs: DataFrame) -> DataFrame:
+def _windows(docs: DataFrame, whole: bool, cut: bool) -> DataFrame:
     """``doc_id``, ``_text`` (hash of the text), ``at``, ``k1``, ``k2`` of every window."""
-    lines = F.transform(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(_BLANKS)))
-    hashed = docs.select("doc_id", F.xxhash64("text").alias("_text"), lines.alias("lines")).where(F.size("lines") >= WINDOW)
+    lines = F.split("text", "\n")
+    lines = F.transform(F.flatten(F.transform(lines, _pieces)) if cut else lines, lambda line: F.btrim(line, F.lit(_BLANKS)))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("_text"), lines.alias("lines")).where(F.size("lines") >= (1 if whole else WINDOW))
     hashed = hashed.select(
         "doc_id",
         "_text",
@@ -39,7 +58,7 @@ def _windows(docs: DataFrame) -> DataFrame:
         F.transform("lines", lambda line: F.xxhash64(F.lit("second"), line)).alias("h2"),
         F.transform("lines", lambda line: line != "").alias("full"),
     )
-    starts = F.sequence(F.lit(0), F.size("h1") - WINDOW)
+    starts = F.when(F.size("h1") >= WINDOW, F.sequence(F.lit(0), F.size("h1") - WINDOW)).otherwise(F.array().cast("array<int>"))
 
     def over(column: str, at):
         return [F.get(F.col(column), at + k) for k in range(WINDOW)]
@@ -53,13 +72,17 @@ def _windows(docs: DataFrame) -> DataFrame:
             F.greatest(*over("full", at)).alias("full"),
         ),
     )
+    if whole:
+        own = [F.filter(h, lambda _, at: F.get("full", at)) for h in ("h1", "h2")]
+        every = F.struct(F.lit(_WHOLE).alias("at"), *[F.xxhash64(F.lit("whole"), h).alias(k) for h, k in zip(own, ("k1", "k2"), strict=True)], F.lit(True).alias("full"))
+        made = F.when(F.size(F.filter("full", lambda full: full)).between(1, WINDOW - 1), F.array_append(made, every)).otherwise(made)
     exploded = hashed.select("doc_id", "_text", F.explode(made).alias("w")).where("w.full")
     return exploded.select("doc_id", "_text", "w.at", "w.k1", "w.k2")
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, whole: bool = False, cut: bool = False) -> DataFrame:
     """``doc_id``, ``_text`` and ``starts``, the starts of windows that repeat an earlier one."""
-    windows = _windows(docs)
+    windows = _windows(docs, whole, cut)
     place = F.struct("doc_id", "_text", "at")
     firsts = windows.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     firsts = firsts.select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), "first")
@@ -68,20 +91,35 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return later.groupBy("doc_id", "_text").agg(F.collect_set("at").alias("starts"))
 
 
-def remove_repeated_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` without covered lines, with ``n_lines`` and ``n_removed``; columns of these names are replaced."""
-    found = repeated_lines(docs).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_of"), F.col("starts").alias("_starts"))
+def remove_repeated_lines(docs: DataFrame, whole: bool = False, cut: bool = False) -> DataFrame:
+    """``docs`` without covered lines, with ``n_lines`` and ``n_removed``; columns of these names are replaced.
+
+    With ``cut`` pieces of lines are compared, removed and counted.
+    """
+    found = repeated_lines(docs, whole, cut).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_of"), F.col("starts").alias("_starts"))
     kept = docs.drop("n_lines", "n_removed")
     matched = kept.join(found, kept["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64("text") == F.col("_of")), "left")
     lines = F.split("text", "\n")
+    if cut:
+        lines = F.flatten(F.transform(lines, lambda line, at: F.transform(_pieces(line), lambda piece: F.struct(at.alias("line"), piece.alias("piece")))))
     covered = F.flatten(F.transform("_starts", lambda at: F.array(*[at + k for k in range(WINDOW)])))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
-    left = F.array_join(F.transform(stay, lambda at: F.get(F.col("_lines"), at)), "\n")
-    made = matched.withColumn("_lines", lines)
+    every = F.sequence(F.lit(0), F.size("_lines") - 1)
+    stay = F.when(F.array_contains("_starts", _WHOLE), F.array().cast("array<int>")).otherwise(F.array_except(every, covered))
+    made = matched.withColumn("_lines", lines).withColumn("_stay", stay)
+    if cut:
+
+        def with_break(at: Column, k: Column) -> Column:
+            own = F.get("_lines", at)
+            breaks = (k > 0) & (F.get("_lines", F.get("_stay", k - 1))["line"] < own["line"])
+            return F.concat(F.when(breaks, "\n").otherwise(""), own["piece"])
+
+        left = F.array_join(F.transform("_stay", with_break), "")
+    else:
+        left = F.array_join(F.transform("_stay", lambda at: F.get("_lines", at)), "\n")
     made = made.withColumns(
         {
             "n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
-            "n_removed": F.when(F.col("_starts").isNotNull(), F.size("_lines") - F.size(stay)).otherwise(0).cast("long"),
+            "n_removed": F.when(F.col("_starts").isNotNull(), F.size("_lines") - F.size("_stay")).otherwise(0).cast("long"),
             "_left": F.when(F.col("_starts").isNotNull(), left).otherwise(F.col("text")),
         }
     )
@@ -90,11 +128,11 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     return made.select(*kept.columns, "n_lines", "n_removed")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated passages removed, same columns; documents of which nothing is left go."""
+def deduplicated(docs: DataFrame, cut: bool = False) -> DataFrame:
+    """``docs`` with repeated passages and short documents removed, same columns; documents of which nothing is left go."""
     columns = docs.columns
     docs, back = set_aside(docs, "n_lines", "n_removed")
-    made = remove_repeated_lines(docs)
+    made = remove_repeated_lines(docs, whole=True, cut=cut)
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     gone = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))

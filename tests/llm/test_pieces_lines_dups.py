@@ -159,6 +159,73 @@ def test_lines_of_odd_and_no_documents(spark):
     assert line_dedup.deduplicated(no_docs(spark)).count() == 0
 
 
+def brute_pieces(rows):
+    """What is left of each text by pieces of lines, as ``brute_lines`` for lines."""
+    seen, out = set(), {}
+    for i, text in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines = []
+        for line in text.split("\n"):
+            words, own = re.findall(r"\s*\S+\s*", line, re.ASCII), [""]
+            if len(words) <= line_dedup.PIECE:
+                words, own = [], [line]
+            count = 0
+            for at, word in enumerate(words):
+                # A piece ends at the first sentence end from the eighth word on, else after sixteen words.
+                own[-1] += word
+                count += 1
+                ends = count >= line_dedup.SHORTEST and re.search(r"[.!?…][\"')\]»”]?\s*$", word)
+                if (ends or count == line_dedup.PIECE) and at < len(words) - 1:
+                    own.append("")
+                    count = 0
+            assert "".join(own) == line
+            lines.append(own)
+        pieces = [(k, p) for k, own in enumerate(lines) for p in own]
+        trimmed = [p.strip(" \t\r") for _, p in pieces]
+        windows = [(tuple(trimmed[a : a + 3]), range(a, a + 3)) for a in range(len(pieces) - 2) if any(trimmed[a : a + 3])]
+        if 0 < len(short := [t for t in trimmed if t]) < 3:
+            windows.insert(0, (("whole", *short), range(len(pieces))))
+        gone = set()
+        for window, covers in windows:
+            gone |= set(covers) if window in seen else set()
+            seen.add(window)
+        kept = [["".join(p for at, (l, p) in enumerate(pieces) if l == k and at not in gone)] for k in range(len(lines)) if any(l == k and at not in gone for at, (l, _) in enumerate(pieces))]
+        out[i, text] = ("\n".join(x for (x,) in kept), len(pieces), len(gone))
+    return out
+
+
+def piece_rows():
+    rng = random.Random(16)
+    prose = lambda n: " ".join(sentence(rng, rng.randint(1, 20)).capitalize() + rng.choice([".", "!", "?", '."', " …", ","]) for _ in range(n))
+    passages = [prose(9) for _ in range(5)] + [sentence(rng, 60)]
+    rows = []
+    for i in range(60):
+        parts = [rng.choice(["", prose(2), rng.choice(passages), "short line", " "]) for _ in range(rng.randint(1, 4))]
+        rows.append((i, rng.choice(["\n", " ", "\n\n"]).join(parts)))
+    two = f"{sentence(rng, 7)}\n{sentence(rng, 7)}"
+    rows += [(60, two), (61, two), (62, two + "\n\n\n"), (63, "once"), (64, "once "), (65, passages[0]), (66, "before\n" + passages[0] + "\nafter"), (67, "\n \n"), (68, "\n \n"), (69, ""), (None, "once")]
+    return [*rows, rows[3]]
+
+
+def test_pieces_of_lines_equal_brute_force(spark):
+    rows = piece_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_pieces(rows)
+    got = line_dedup.remove_repeated_lines(docs, whole=True, cut=True).collect()
+    assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got), key=repr) == sorted(((i, *want[i, t]) for i, t in rows), key=repr)
+
+
+def test_short_documents_and_long_lines_that_repeat_go(spark):
+    rows = piece_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id for r in line_dedup.deduplicated(docs).collect()}
+    assert 60 in left and not {61, 62, 63, 64} & left and {67, 68, 69, None} <= left
+    left = {r.doc_id: r.text for r in line_dedup.deduplicated(docs, cut=True).collect()}
+    assert 60 in left and not {61, 62, 63, 64, 65} & set(left)
+    assert left[66] == "before\nafter" and {67, 68, 69, None} <= set(left)
+    long = next(t for i, t in rows if i == 65)
+    assert sum(long in t for t in left.values()) <= 1
+
+
 # --- near duplicates ------------------------------------------------------------
 
 
