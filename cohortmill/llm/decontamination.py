@@ -6,8 +6,9 @@ window by backward search and locates its occurrences. Occurrences merge into sp
 words. Documents never move: no shuffle, no matter how common a passage is.
 
 Queries are read in blocks of about ``BLOCK_WORDS`` words, each broadcast by itself, and every
-block goes over all documents; so what is broadcast has a fixed bound and a larger benchmark
-means more passes, not a larger broadcast.
+block goes over all documents. What all blocks but the last find is written with the documents before the next
+block is read, and the broadcast ends; so one block is in memory at a time, and a larger benchmark
+means more passes, each with a copy of the documents on disk, not a larger broadcast.
 
 Words are those of ASCII letters and digits (A-Z lower-cased) and all characters beyond ASCII.
 A window is ``WINDOW`` consecutive words of an item; an item of fewer words is one window.
@@ -31,6 +32,7 @@ from pyspark.sql import types as T
 
 from cohortmill.llm.fm_index import FMIndex
 from cohortmill.llm.texts import WORDLIKE, chunks, column_bytes, read_table, segment_hashes, set_aside, small_batches, words
+from cohortmill.session import materialise
 
 WINDOW = 10
 SHARD_BYTES = 3 << 20
@@ -175,15 +177,15 @@ def _pass(queries, text: str, clean: bool):
     return run
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, bytes]]]:
-    """Items in blocks of about ``block_words`` words (by characters, at least one item)."""
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[tuple[list[tuple[str, bytes]], bool]]:
+    """Items in blocks of about ``block_words`` words (by characters, at least one item), each read when asked for, and whether it is the last."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     items = items.where(F.length("text") > 0)
     characters = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(characters / (4 * block_words)))
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k)
-        yield [(r["id"], r["text"].encode()) for r in mine.collect()]
+        yield [(r["id"], r["text"].encode()) for r in mine.collect()], k == blocks - 1
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, clean: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -197,17 +199,16 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     clash = set(_STATE) & set(docs.columns)
     kept = docs.drop(*clash).withColumns({n: F.lit(0).cast(t) if t == "bigint" else F.array().cast(t) for n, t in _STATE.items()})
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in kept.schema])
-    blocks = list(_blocks_as_broadcasts(spark, benchmark, window, block_words))
-    for k, block in enumerate(blocks):
-        kept = kept.mapInArrow(_pass(block, text, clean and k == len(blocks) - 1), schema)
+    for block, last in _blocks(benchmark, block_words):
+        shared = spark.sparkContext.broadcast(Queries(block, window))
+        del block
+        kept = kept.mapInArrow(_pass(shared, text, clean and last), schema)
+        if not last:
+            kept = materialise(kept, "passages")
+            shared.destroy()
     return kept
 
 
-def _blocks_as_broadcasts(spark: SparkSession, benchmark: DataFrame, window: int, block_words: int):
-    for block in _blocks(benchmark, block_words):
-        yield spark.sparkContext.broadcast(Queries(block, window))
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with benchmark passages cut out of their texts, same columns; ``n_chars`` follows where present."""
     columns = docs.columns

@@ -15,7 +15,7 @@ from cohortmill.llm import fingerprints as fp
 from cohortmill.llm import languages, secrets
 from cohortmill.llm.fm_index import FMIndex
 from llm.llm_entry import QUERIES
-from llm.samples import no_docs, odd_docs, odd_rows
+from llm.samples import no_docs, odd_docs, odd_rows, odd_texts
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,6 +103,27 @@ def test_clean_documents_stay_as_they_are(spark):
     assert dc.decontaminate(no_docs(spark), spark.createDataFrame(bench_rows(), BENCH)).count() == 0
 
 
+def test_one_block_of_the_benchmark_at_a_time(spark, monkeypatch):
+    held, most, made = set(), [], type(spark.sparkContext).broadcast
+
+    def broadcast(context, value):
+        out = made(context, value)
+        if isinstance(value, dc.Queries):
+            held.add(id(out))
+            most.append(len(held))
+            monkeypatch.setattr(out, "destroy", lambda *a, end=out.destroy: (held.discard(id(out)), end(*a)))
+        return out
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    docs = odd_docs(spark)
+    bench = spark.createDataFrame([(str(i), t) for i, t in enumerate(odd_texts()) if t and len(t) < 3000], "item_id string, text string")
+    small = dc.find_passages(docs, bench, block_words=200, clean=True)
+    assert len(most) > 2 and set(most) == {1}
+    assert small._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+    whole = dc.find_passages(docs, bench, clean=True)
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, whole.collect()))
+
+
 # --- languages ------------------------------------------------------------------
 
 
