@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortmill.llm.byte_bpe import op12_byte_bpe
 from cohortmill.llm.decontamination import DECONTAMINATION_SQL, op5_decontamination
 from cohortmill.llm.fingerprints import op9_fingerprints
 from cohortmill.llm.languages import op3_languages
@@ -24,6 +25,7 @@ LLM_QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 LLM_ORACLES = {
