@@ -8,6 +8,7 @@ from cohortmill.llm.fingerprints import op9_fingerprints
 from cohortmill.llm.languages import op3_languages
 from cohortmill.llm.line_dedup import LINE_DEDUP_SQL, op10_line_dedup
 from cohortmill.llm.near_dups import NEAR_DUPS_SQL, op2_near_dups
+from cohortmill.llm.period_runs import op11_period_runs
 from cohortmill.llm.pieces import op8_sentencepiece
 from cohortmill.llm.secrets import op6_secrets
 from cohortmill.llm.sharding import op7_sharding
@@ -25,6 +26,7 @@ LLM_QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op11_period_runs": op11_period_runs,
     "op12_byte_bpe": op12_byte_bpe,
 }
 
