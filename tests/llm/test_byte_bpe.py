@@ -53,7 +53,7 @@ def random_texts():
 def test_ids_equal_the_library(ranks, library):
     encoder, pattern = byte_bpe.Encoder(ranks), regex.compile(PATTERN)
     for text in [*random_texts(), *(t for t in odd_texts() if t is not None)]:
-        ids = encoder.encode(text, pattern)
+        ids = encoder.encode_all([text], pattern)[0]
         assert unpacked(ids) == library.encode_ordinary(text), text[:80]
         assert encoder.decode(ids) == text.encode()
 
@@ -70,7 +70,10 @@ def test_any_ranks_merge_lowest_and_leftmost_first():
         for _ in range(40):
             piece = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 40)))
             assert encoder.merge(piece) == slow_merge(ranks, piece)
-            assert not encoder.queue.top and not any(encoder.queue.low) and not any(encoder.queue.middle) and not encoder.queue.buckets
+        pieces = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 40))) for _ in range(60)]
+        assert [unpacked(ids) for ids in encoder.together.merge(pieces)] == [slow_merge(ranks, p) for p in pieces]
+        for held in (encoder.queue, encoder.together):
+            assert not held.buckets and not held.held.top and not any(held.held.low) and not any(held.held.middle)
 
 
 def test_queue_gives_positions_by_rank_then_place():
@@ -91,21 +94,23 @@ def test_long_runs_take_time_in_proportion(ranks, library):
     rng = random.Random(2)
     for text in ("-" * 200_000, "ation" * 40_000, "".join(rng.choice("etaoinshr") for _ in range(200_000))):
         started = time.perf_counter()
-        ids = encoder.encode(text, pattern)
+        ids = encoder.encode_all([text], pattern)[0]
         assert time.perf_counter() - started < 20
         assert encoder.decode(ids) == text.encode()
-        assert unpacked(encoder.encode(text[:20_000], pattern)) == library.encode_ordinary(text[:20_000])
+        assert unpacked(encoder.encode_all([text[:20_000]], pattern)[0]) == library.encode_ordinary(text[:20_000])
 
 
 def test_slices_and_memory_bound_change_nothing(ranks, monkeypatch):
-    texts = random_texts()[:200]
+    texts = [*random_texts()[:200], "x" * 300 + " " + "ab" * 500]
+    texts.append(" ".join(texts))
     pattern = regex.compile(PATTERN)
-    whole = [byte_bpe.Encoder(ranks).encode(t, pattern) for t in texts[:3]] + [byte_bpe.Encoder(ranks).encode(" ".join(texts), pattern)]
+    whole = byte_bpe.Encoder(ranks).encode_all(texts, pattern)
     monkeypatch.setattr(byte_bpe, "REMEMBERED", 2)
     monkeypatch.setattr(byte_bpe, "SLICE", 7)
     encoder = byte_bpe.Encoder(ranks)
-    assert [encoder.encode(t, pattern) for t in [*texts[:3], " ".join(texts)]] == whole
-    assert encoder.decode(whole[-1]) == " ".join(texts).encode()
+    assert encoder.encode_all(texts, pattern) == whole
+    assert [encoder.decode(ids) for ids in whole] == [t.encode() for t in texts]
+    assert encoder.encode_all([], pattern) == []
 
 
 def test_vocabulary_needs_every_byte():
