@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortmill.llm.byte_bpe import op12_byte_bpe
+from cohortmill.llm.conversations import op13_conversation_repair
 from cohortmill.llm.decontamination import DECONTAMINATION_SQL, op5_decontamination
 from cohortmill.llm.fingerprints import op9_fingerprints
 from cohortmill.llm.languages import op3_languages
@@ -28,6 +29,7 @@ LLM_QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_period_runs": op11_period_runs,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 LLM_ORACLES = {
