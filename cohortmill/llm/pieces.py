@@ -16,7 +16,8 @@ begin; pieces with a space further in (runs of spaces) stay out of the lattice.
 pieces, bytes as they are, and drops the first space: it gives every text back exactly.
 
 Defined cases: a null text has null ids, an empty one has none (score 0, no alternatives); a text
-with fewer than N segmentations has fewer alternatives; ties go by ids; repeated rows get equal
+with fewer than N segmentations has fewer alternatives; of equal scores the Viterbi choice leads and the others stand
+by ids; an unbroken run of any length takes time and memory in proportion to it; repeated rows get equal
 results; extra columns pass through.
 """
 
@@ -52,10 +53,14 @@ class Pieces:
     def __init__(self, pieces: list[tuple[str, float]], byte_ids: list[int], skip: set[int]):
         if len(pieces) > MAX_PIECES:
             raise ValueError(f"{len(pieces)} pieces, more than the {MAX_PIECES} that may be broadcast")
+        #: What makes this object anew in a task, as plain data.
+        self.plain = (pieces, byte_ids, skip)
         texts = [p.replace(_BLOCK, " ") for p, _ in pieces]
         inside = [k for k in range(len(pieces)) if k not in skip and texts[k] and " " not in texts[k][1:]]
         self.cost = {texts[k]: (-pieces[k][1], k) for k in inside}
         self.unknown = max(c for c, _ in self.cost.values()) + UNKNOWN_LESS
+        #: Edges by text: cost, ids, size.
+        self.edges = {text: (cost, (k,), len(text)) for text, (cost, k) in self.cost.items()}
         self.longest = max(map(len, self.cost))
         self.byte_ids = byte_ids
         self.texts = [t.encode() for t in texts]
@@ -76,17 +81,21 @@ class Pieces:
         cuts = (np.flatnonzero(~self.crossed[self._slot(symbols[:-1], symbols[1:])]) + 1).tolist()
         return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
 
-    def lattice(self, segment: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For every end the edges into it: start, cost, ids."""
-        into: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(len(segment) + 1)]
-        cost, longest = self.cost, self.longest
+    def lattice(self, segment: str) -> list[list[tuple[float, tuple[int, ...], int]]]:
+        """For every end the edges into it, longest first: cost, ids, size. Edges of one piece are one object."""
+        into: list[list[tuple[float, tuple[int, ...], int]]] = [[] for _ in range(len(segment) + 1)]
+        known, longest = self.edges, self.longest
+        spelt: dict[str, tuple[float, tuple[int, ...], int]] = {}
         for end in range(1, len(segment) + 1):
             edges = into[end]
             for start in range(max(0, end - longest), end):
-                if (found := cost.get(segment[start:end])) is not None:
-                    edges.append((start, found[0], (found[1],)))
-            if not edges or edges[-1][0] != end - 1:
-                edges.append((end - 1, self.unknown, tuple(self.byte_ids[b] for b in segment[end - 1].encode())))
+                if (found := known.get(segment[start:end])) is not None:
+                    edges.append(found)
+            if not edges or edges[-1][2] != 1:
+                one = segment[end - 1]
+                if one not in spelt:
+                    spelt[one] = (self.unknown, tuple(self.byte_ids[b] for b in one.encode()), 1)
+                edges.append(spelt[one])
         return into
 
     def viterbi(self, segment: str):
@@ -95,42 +104,61 @@ class Pieces:
         forward, back = [0.0] + [math.inf] * n, [into[-1][0]] * (n + 1)
         for end in range(1, n + 1):
             for edge in into[end]:
-                cost = forward[edge[0]] + edge[1]
+                cost = forward[end - edge[2]] + edge[0]
                 if cost < forward[end]:
                     forward[end], back[end] = cost, edge
         # The best way through each edge that the best path leaves out; the least of them comes second.
         backward = [math.inf] * n + [0.0]
-        best, at, second, ids = forward[n], n, math.inf, ()
+        best, at, second, taken = forward[n], n, math.inf, []
         for end in range(n, 0, -1):
             onward = backward[end]
             if onward == math.inf:
                 continue
             on_path = back[end] if end == at else None
             for edge in into[end]:
-                cost = edge[1] + onward
-                if cost < backward[edge[0]]:
-                    backward[edge[0]] = cost
-                if edge is not on_path and forward[edge[0]] + cost < second:
-                    second = forward[edge[0]] + cost
+                start, cost = end - edge[2], edge[0] + onward
+                if cost < backward[start]:
+                    backward[start] = cost
+                if edge is not on_path and forward[start] + cost < second:
+                    second = forward[start] + cost
             if on_path is not None:
-                ids, at = on_path[2] + ids, on_path[0]
-        return into, forward, ids, second - best
+                taken.append(on_path[1])
+                at -= on_path[2]
+        return into, forward, tuple(k for ids in reversed(taken) for k in ids), second - best
 
     def nbest(self, segment: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` cheapest segmentations in order: A-star from the end, the forward costs as heuristic."""
+        """The ``n`` cheapest segmentations in order: A-star from the end, the forward costs as heuristic.
+
+        A path costs the best path and what each of its edges adds to that, which is nothing on a best path. Of equal
+        paths the one nearest to the start goes on, so ties make no wave; and a position is left after ``n``
+        visits, as no path among the ``n`` best needs a worse end than its ``n``-th. Entries point back
+        to the one they come from, so an entry has the same size at any depth.
+        """
         into, forward, first, _ = self.viterbi(segment)
-        heap: list[tuple[float, tuple[int, ...], int, float]] = [(forward[-1], (), len(segment), 0.0)]
+        # What a path adds, where it stands, a number, its edge there, and the entry before.
+        heap: list[tuple] = [(0.0, len(segment), 0, None, None)]
+        visits = [0] * (len(segment) + 1)
         found: list[tuple[float, tuple[int, ...]]] = []
+        pushed = 0
         while heap and len(found) < n:
-            estimate, ids, at, spent = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            added, at = entry[0], entry[1]
             if at == 0:
-                found.append((estimate, ids))
+                ids: list[int] = []
+                while entry[3] is not None:
+                    ids += entry[3][1]
+                    entry = entry[4]
+                found.append((forward[-1] + added, tuple(ids)))
+                continue
+            if visits[at] >= n:
                 continue
-            for start, cost, own in into[at]:
-                if forward[start] < math.inf:
-                    heapq.heappush(heap, (spent + cost + forward[start], own + ids, start, spent + cost))
+            visits[at] += 1
+            for edge in into[at]:
+                start = at - edge[2]
+                pushed += 1
+                heapq.heappush(heap, (added + (forward[start] + edge[0] - forward[at]), start, pushed, edge, entry))
         # The Viterbi choice leads, also where others cost the same.
-        rest = [x for x in found if x[1] != first]
+        rest = sorted(x for x in found if x[1] != first)
         return [(forward[-1], first), *rest][:n]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -279,6 +307,8 @@ class Memory:
 
     def nbest(self, segment: str, n: int):
         if segment not in self.lists:
+            if len(segment) > WIDEST:
+                return self.pieces.nbest(segment, n)
             self.lists[segment] = self.pieces.nbest(segment, n)
         return self.lists[segment]
 
@@ -363,7 +393,7 @@ def encode_texts(docs: DataFrame, pieces: Pieces, n: int = NBEST, columns: tuple
     """``columns`` of ``docs`` with ``ids``, ``score``, ``alternatives`` and ``round_trip`` of its ``text``."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(pieces)
+    shared = spark.sparkContext.broadcast(pieces.plain)
     rows = docs.select(*columns, "text")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
 
@@ -380,7 +410,7 @@ def encode_texts(docs: DataFrame, pieces: Pieces, n: int = NBEST, columns: tuple
         return pa.RecordBatch.from_arrays([*own, *made], names=[*columns, "ids", "score", "alternatives", "round_trip"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = shared.value
+        pieces = Pieces(*shared.value)
         memory = Memory(pieces)
         for batch in batches:
             out, first, tokens = [], 0, 0
@@ -404,12 +434,13 @@ def decode_ids(rows: DataFrame, pieces: Pieces, columns: tuple[str, ...] = ("doc
     """``columns`` of ``rows`` with ``text``, decoded from ``ids``."""
     spark = rows.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(pieces)
+    shared = spark.sparkContext.broadcast(pieces.plain)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*columns).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces(*shared.value)
         for batch in batches:
-            texts = [None if ids is None else shared.value.decode(np.array(ids, np.int32)) for ids in batch.column("ids").to_pylist()]
+            texts = [None if ids is None else pieces.decode(np.array(ids, np.int32)) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], names=[*columns, "text"])
 
     return rows.select(*columns, "ids").mapInArrow(run, f"{kept}, text string")

@@ -2,6 +2,8 @@
 
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -71,6 +73,31 @@ def test_segments_together_equal_segments_alone(model):
         assert (memory.ids[k], memory.costs[k], memory.gaps[k]) == (np.array(ids, np.int32).tobytes(), forward[-1], gap)
 
 
+def test_nbest_of_tied_runs_equals_all_segmentations(model):
+    rng = random.Random(11)
+    segments = ["-" * 14, "=" * 11, " ation" * 2, "er" * 6, "....", "ationer", *("".join(rng.choice("-=") for _ in range(12)) for _ in range(20))]
+    for segment in segments:
+        want = brute_segmentations(model, segment)
+        for n in (1, 2, 4, 9):
+            got = model.nbest(segment, n)
+            assert [c for c, _ in got] == [c for c, _ in want[:n]], segment
+            assert len({ids for _, ids in got}) == len(got) and all(x in want for x in got)
+
+
+@pytest.mark.parametrize("unit", ["-", "ationer", "=-", "a", "ℵ", "é "])
+def test_long_runs_take_time_and_memory_in_proportion(model, unit):
+    text = "Title " + (unit * 100_000)[:100_000] + " body"
+    memory = pieces.Memory(model)
+    tracemalloc.start()
+    started = time.perf_counter()
+    ids, score, ways = next(iter(pieces.encode_all([text], memory, 4)))
+    took, most = time.perf_counter() - started, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 120 and most < 200 << 20, (took, most)
+    assert model.decode(ids) == text and len(ways) == 3
+    assert all(model.decode(np.array(edited(ids, e), np.int32)) == text for _, e in ways)
+
+
 def test_cuts_never_split_a_piece(model):
     text = " " + "".join(odd_texts()[11:12]) + " 1,000.00 e.g. don't ▁▁ ℵℵ"
     segments = model.segments(text)
