@@ -14,7 +14,7 @@ from cohortmill.operators.manifests import manifest_passes, path_rules
 from cohortmill.operators.studies import first_sessions_list, session_index, sessions, subject_session_pairs, subjects
 from cohortmill.session import materialise
 from cohortmill.sources.documents import session_filters, write_session_filters
-from cohortmill.sources.ledger_store import ledger_current, ledger_record, ledger_records
+from cohortmill.sources.ledger_store import journal_close, ledger_current, ledger_record, ledger_records
 
 # The code a run stops with, by stage, and the sessions a stage gets.
 STOP_CODES = {
@@ -84,17 +84,21 @@ def run_stage(
 ) -> tuple[DataFrame, DataFrame]:
     """Run one stage, stop if nothing succeeded; results and survivors.
 
-    Every wave of outcomes is in the ledger before the next one runs.
+    Readers of the ledger see every outcome within about a second of its item's end, from the stage's journal in the store;
+    at the end of the stage one commit takes its place. A lost stage goes on from its journal.
     """
     named = name_items(items, name, keys) if keys else items.withColumn("task_name", F.lit(name))
     ledger = ledger_current(spark, ledger_path)
     arguments = list(stage.arguments if stage.arguments is not None else keys)
     run, token = next_run(spark, ledger_path), uuid.uuid4().hex
 
-    def record(results: DataFrame, wave: int) -> None:
-        ledger_record(results, ledger_path, run, f"{token}-{wave}")
+    def record(results: DataFrame, part: int) -> None:
+        ledger_record(results, ledger_path, run, f"{token}-{part}")
 
-    results = apply_batch(named, ledger, stage.fn, arguments, stage.cleanup, record=record)
+    results = apply_batch(
+        named, ledger, stage.fn, arguments, stage.cleanup, record=record,
+        journal=f"{ledger_path.rstrip('/')}/journal/{token}", close=lambda: journal_close(ledger_path, token),
+    )
     if not stage_gate(results, single=not keys).first()["go_on"]:
         raise StudyStopped(name)
     if not keys:

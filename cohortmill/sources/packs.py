@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortmill.operators.manifests import keep_scratch
 from cohortmill.session import MAX_BROADCAST_ROWS, materialise
@@ -34,29 +34,50 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
+#: Partition columns of a pack.
+_FOLDERS = ("shards", "shard", "slice")
+# Bits of a slice's number inside its piece of a folder; the highest of them marks a row alone.
+_SLICE_BITS = 40
+
+
+def byte_slices(rows: DataFrame, size: str, group: Collection[str], order: Collection[str], max_bytes: int) -> Column:
+    """Number of a row's slice inside its group, by running sums of ``size``; no slice but that of one large row exceeds ``max_bytes``.
+
+    A slice takes rows as long as less than half the bound lies before them, so rows of at most half of it never go beyond; a row
+    of more than half gets a slice of its own.
+    """
+    half = max(1, max_bytes // 2)
+    before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    small = F.col(size) <= half
+    running = F.coalesce(F.sum(F.when(small, F.col(size))).over(before), F.lit(0))
+    large = F.coalesce(F.sum(F.when(small, 0).otherwise(1)).over(before), F.lit(0))
+    return F.when(small, F.floor(running / half).cast("bigint")).otherwise(F.lit(1 << (_SLICE_BITS - 1)) + large)
+
+
 def pack(df: DataFrame, path: str, max_bytes: int = SLICE_BYTES) -> None:
     """Write a catalogue (with or without file contents) as bounded, sorted slices.
 
-    Subjects are hashed to folders, and rows are range-partitioned by folder,
-    subject and session: a subject with very many rows spreads over several files,
-    while small subjects share one. Folder count follows the data, not the number
-    of sessions, so a study never exceeds a file-count limit. ``shards`` is kept as
+    Subjects are hashed to folders, as many as there are slices, so small subjects share one. A folder of several times the
+    bound, such as that of a subject with very many rows, is dealt into pieces by session and path. Inside a piece
+    running sums of bytes cut the sorted rows into slices (:func:`byte_slices`), one file each, so a
+    file stays below ``max_bytes`` unless one row alone is larger, whatever the sizes of rows. Folder count follows the data, not
+    the number of sessions, so a study never exceeds a file-count limit. Rows move once. ``shards`` is kept as
     a partition column, which lets readers prune without knowing it.
     """
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
-    slices = max(1, -(-size["b"] // max_bytes))
-    shards = slices
-    per_file = max(1, size["n"] * max_bytes // max(1, size["b"]))
-    cut = df.withColumn("shards", F.lit(shards)).withColumn("shard", shard_of(F.col("subject"), F.col("shards")))
-    order = ["shards", "shard", "subject", "session", "path"]
-    (
-        cut.repartitionByRange(int(slices), *order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", int(per_file))
-        .partitionBy("shards", "shard")
-        .parquet(path)
-    )
+    sized = df.withColumn("_bytes", row_bytes(df).cast("bigint"))
+    total = sized.agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("b")).first()["b"]
+    shards = max(1, -(-total // max_bytes))
+    cut = sized.withColumn("shards", F.lit(int(shards))).withColumn("shard", shard_of(F.col("subject"), F.col("shards")))
+    # At most one row for every two slices; Spark broadcasts it while it is small.
+    heavy = cut.groupBy(F.col("shard").alias("_heavy")).agg(F.ceil(F.sum("_bytes") / max_bytes).cast("bigint").alias("_pieces"))
+    heavy = materialise(heavy.filter("_pieces > 2"), "heavy")
+    cut = cut.join(heavy, F.col("shard") == F.col("_heavy"), "left")
+    piece = F.pmod(F.xxhash64("session", "path"), F.coalesce("_pieces", F.lit(1)))
+    cut = cut.withColumn("_piece", piece).drop("_heavy", "_pieces")
+    order = ["subject", "session", "path"]
+    number = byte_slices(cut, "_bytes", ["shard", "_piece"], order, max_bytes)
+    sliced = cut.withColumn("slice", F.shiftleft("_piece", _SLICE_BITS) + number).drop("_bytes", "_piece")
+    sliced.sortWithinPartitions(*_FOLDERS, *order).write.mode("overwrite").partitionBy(*_FOLDERS).parquet(path)
 
 
 def _open(spark: SparkSession, path: str) -> DataFrame:
@@ -65,7 +86,7 @@ def _open(spark: SparkSession, path: str) -> DataFrame:
 
 def extract_all(spark: SparkSession, path: str) -> DataFrame:
     """Everything in a pack."""
-    return _open(spark, path).drop("shards", "shard")
+    return _open(spark, path).drop(*_FOLDERS)
 
 
 def extract_subject(spark: SparkSession, path: str, subject: str) -> DataFrame:
@@ -76,7 +97,7 @@ def extract_subject(spark: SparkSession, path: str, subject: str) -> DataFrame:
     packed = _open(spark, path)
     folder = F.col("shard").isin(-1) | (F.col("shard") == shard_of(F.lit(subject), F.col("shards")))
     mine = (F.col("subject") == subject) | F.col("subject").isNull()
-    return packed.filter(folder & mine).drop("shards", "shard")
+    return packed.filter(folder & mine).drop(*_FOLDERS)
 
 
 def extract_sessions(
@@ -109,7 +130,7 @@ def _read_wanted(spark: SparkSession, path: str, wanted: DataFrame, keys: Collec
     packed = _open(spark, path)
     one = packed.select("shards").first()
     if one is None:
-        return packed.drop("shards", "shard")
+        return packed.drop(*_FOLDERS)
     shared = wanted.sparkSession.range(1).select(*[F.lit(None).cast("string").alias(k) for k in keys])
     rows = wanted.select(*keys).unionByName(shared).distinct()
     rows = rows.select(shard_of(F.col("subject"), F.lit(one["shards"])).alias("w_shard"), *[F.col(k).alias(f"w_{k}") for k in keys])
@@ -119,7 +140,7 @@ def _read_wanted(spark: SparkSession, path: str, wanted: DataFrame, keys: Collec
     rows = materialise(rows, "wanted")
     few = rows.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
     rows = rows.filter("w_shard >= -1")
-    return packed.join(F.broadcast(rows) if few else rows, condition, "left_semi").drop("shards", "shard")
+    return packed.join(F.broadcast(rows) if few else rows, condition, "left_semi").drop(*_FOLDERS)
 
 
 def extract_subjects(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:

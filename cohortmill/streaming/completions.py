@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortmill.sources.ledger_store import ledger_record
+from cohortmill.sources.ledger_store import ledger_compact, ledger_record
+
+# Data folders a stream lets a store have before it compacts it.
+COMPACT_AFTER = 64
 
 
 def completion_sink(
@@ -14,13 +17,15 @@ def completion_sink(
 ):
     """Record outcomes in a ledger store as they arrive.
 
-    A micro-batch writes the run folder of its own number, so a replayed batch
+    A micro-batch is the run of its own number, so a replayed batch
     replaces itself and nothing is recorded twice. In a store that holds runs already,
-    ``first_run`` must lie above them.
+    ``first_run`` must lie above them. Each time the store has ``COMPACT_AFTER`` folders the stream
+    compacts them into one, so reading it does not slow down with its age.
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        ledger_record(batch, path, first_run + batch_id, "stream")
+        if ledger_record(batch, path, first_run + batch_id, "stream") >= COMPACT_AFTER:
+            ledger_compact(batch.sparkSession, path)
 
     writer = results.writeStream.option("checkpointLocation", checkpoint).foreachBatch(record)
     return writer.trigger(**({"availableNow": True} if once else trigger or {"processingTime": "10 seconds"})).start()

@@ -214,3 +214,44 @@ def test_slice_equals_first_k(spark, rows):
 def test_scratch_lives_in_the_configured_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def file_bytes(spark, path, size):
+    """Bytes and rows of every file of a pack."""
+    read = spark.read.parquet(path).select(size.alias("b"), F.input_file_name().alias("file"))
+    return {r.file: (r.b, r.n) for r in read.groupBy("file").agg(F.sum("b").alias("b"), F.count("b").alias("n")).collect()}
+
+
+def test_no_file_of_a_pack_exceeds_the_bound(spark, tmp_path, rows):
+    small = [(f"{i % 7:02d}", str(i % 3), f"p{i:05d}", "x" * (i % 90)) for i in range(3000)]
+    large = [("03", str(i % 4), f"large-{i}", "y" * 50_000) for i in range(40)]
+    giant = [("05", "1", "giant", "z" * 300_000), (None, None, "top", "t")]
+    df = spark.createDataFrame(small + large + giant, "subject string, session string, path string, text string").repartition(7)
+    path = str(tmp_path / "pack")
+    size = packs.row_bytes(df)
+    packs.pack(df, path, max_bytes=120_000)
+    files = file_bytes(spark, path, size)
+    assert all(b <= 120_000 or n == 1 for b, n in files.values())
+    assert sum(b for b, _ in files.values()) == df.agg(F.sum(size)).first()[0]
+    # Slices of small rows are at least half full on average, so there are few of them.
+    assert len(files) < 3 * sum(b for b, _ in files.values()) / 120_000 + 30
+    assert rows(packs.extract_all(spark, path)) == rows(df)
+
+
+def test_a_hot_subject_is_packed_by_many_tasks(spark, tmp_path):
+    hot = spark.range(20_000).select(F.lit("hot").alias("subject"), (F.col("id") % 9).cast("string").alias("session"), F.concat(F.lit("p"), "id").alias("path"), F.lit("x" * 100).alias("text"))
+    path = str(tmp_path / "pack")
+    # Small tables would be merged into one task otherwise.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    packs.pack(hot, path, max_bytes=100_000)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = file_bytes(spark, path, packs.row_bytes(hot))
+    assert all(b <= 100_000 for b, _ in files.values()) and len(files) > 20
+    tasks = {f.rsplit("/", 1)[-1].split("-")[1] for f in files}
+    assert len(tasks) > 1
+    assert packs.extract_sessions(spark, path, "hot", {"4"}).count() == 2222
+
+
+def test_an_empty_pack(spark, tmp_path):
+    packs.pack(pack_rows(spark).limit(0), str(tmp_path / "pack"))
+    assert not [f for f in os.listdir(tmp_path / "pack") if f.startswith("shards")]
