@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cohortmill.session import materialise, worker_partitions
 
 MIN_BITS = 4
-# Groups of input tasks whose sketches merge before the last merge.
-SKETCHES = 64
+# Least and greatest accuracy parameter of a sketch.
+MIN_SKETCH, MAX_SKETCH = 256, 65_535
 
 
 # Bits of a row's place inside its partition in monotonically_increasing_id.
@@ -56,16 +56,25 @@ def bucket_bits(spark: SparkSession) -> int:
 def quantile_bounds(df: DataFrame, value: Column, bits: int) -> Column:
     """``2**bits - 1`` rising cut points of ``value`` as one scalar subquery.
 
-    Sketches merge in two steps: those of the input tasks in ``SKETCHES`` groups, then the
-    groups' cut points, so no task meets the sketches of all others. The subquery runs once per
-    query, so every use and every retried task sees the same bounds; how exact
-    they are only affects balance, never results.
+    They come from a mergeable quantile sketch of a few kilobytes per input task, which holds no more however
+    long the input is. The subquery runs once per query, so every use and every retried task sees the same
+    bounds; how exact they are only affects balance, never results. Whole numbers have a sketch of their own kind, so
+    a cut point is a value of the column.
     """
     n = 2**bits
-    points = [i / n for i in range(1, n)]
-    parts = df.select(value.alias("v"), (F.spark_partition_id() % SKETCHES).alias("part"))
-    drawn = parts.groupBy("part").agg(F.percentile_approx("v", points, 4 * n).alias("v"))
-    return drawn.select(F.explode("v").alias("v")).agg(F.percentile_approx("v", points, 4 * n).alias("bounds")).scalar()
+    points = F.array(*[F.lit(i / n) for i in range(1, n)])
+    drawn = df.select(value.alias("v"))
+    kind = drawn.schema["v"].dataType
+    size = min(MAX_SKETCH, max(MIN_SKETCH, 4 * n))
+    if isinstance(kind, T.IntegralType):
+        sketch = F.kll_sketch_agg_bigint(F.col("v").cast("bigint"), F.lit(size))
+        cuts = F.kll_sketch_get_quantile_bigint("s", points)
+    else:
+        sketch = F.kll_sketch_agg_double(F.col("v").cast("double"), F.lit(size))
+        cuts = F.kll_sketch_get_quantile_double("s", points)
+    return drawn.filter("v IS NOT NULL").agg(sketch.alias("s"), F.count(F.lit(1)).alias("n")).select(
+        F.when(F.col("n") > 0, cuts).alias("bounds")
+    ).scalar()
 
 
 def bucket_of(value: Column, bounds: Column, bits: int) -> Column:

@@ -218,6 +218,9 @@ ORACLES: dict[str, str] = {
     "s14_provenance_docs": f"""
         SELECT o_orderkey AS dataset, {PROVENANCE_JSON} AS description_json
         FROM orders JOIN customer ON c_custkey = o_custkey""",
+    "s14_source_documents": f"""
+        SELECT o_orderkey AS dataset, {PROVENANCE_JSON} AS description_json
+        FROM orders JOIN customer ON c_custkey = o_custkey""",
     "s15_apply_ignore": f"""WITH {STUDY}
         SELECT CASE run WHEN '6' THEN 'mylogs/' || path ELSE path END AS path FROM study WHERE run IN ('6', '7')""",
     "p1_parse_entities": f"""WITH {STUDY}

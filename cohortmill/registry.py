@@ -240,6 +240,20 @@ def s14_provenance_docs(spark, sf):
     return documents.provenance_docs(datasets.select("dataset"), sources, PROVENANCE, docker_image="example/tool:1")
 
 
+@query
+def s14_source_documents(spark, sf):
+    """The same from the sources' own description documents, in which keys may be absent, null or of another kind."""
+    orders, customers = fx.table(spark, sf, "orders"), fx.table(spark, sf, "customer")
+    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    doi = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit('"10.1/'), F.col("c_custkey").cast("string"), F.lit('"')))
+    license = F.when(F.col("c_mktsegment") != "MACHINERY", F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit('"')))
+    other = F.get(F.array(F.lit("null"), F.lit("true"), F.lit('["x"]'), F.lit('{"a":1}')), (F.col("o_orderkey") % 4).cast("int"))
+    document = F.concat(F.lit('{"DatasetDOI":'), F.coalesce(doi, other), F.lit(',"Name":"source","License":'), F.coalesce(license, other), F.lit("}"))
+    bare = F.when(doi.isNull() & license.isNull() & (F.col("o_orderkey") % 3 == 0), F.lit('{"Name":"source"}')).otherwise(document)
+    read = documents.source_descriptions(joined.select(F.col("o_orderkey").alias("dataset"), bare.alias("document")))
+    return documents.provenance_docs(joined.select(F.col("o_orderkey").alias("dataset")), read, PROVENANCE, docker_image="example/tool:1")
+
+
 def mixed_files(spark, sf):
     """Study files with reports, logs, figures, transforms and surfaces among them, by run."""
     run, path = F.col("run"), F.col("path")

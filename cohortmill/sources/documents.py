@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The form of the filter and description documents.
-SESSION_BOUND_FILTERS = {
-    "bold": {"datatype": "func", "suffix": "bold"},
-    "sbref": {"datatype": "func", "suffix": "sbref"},
-}
+SESSION_BOUND_FILTERS = ("bold", "sbref")
 FILTERS = {
     "fmap": {"datatype": "fmap"},
     "bold": {"datatype": "func", "suffix": "bold"},
@@ -23,6 +20,8 @@ FILTERS = {
 STANDARD_VERSION = "1.4.0"
 DATASET_TYPE = "derivative"
 DOI_RESOLVER = "https://doi.org/"
+DESCRIPTION_FILE = "dataset_description.json"
+SOURCE_KEYS = {"doi": "DatasetDOI", "license": "License"}
 
 
 def session_filters(sessions: DataFrame) -> DataFrame:
@@ -62,6 +61,36 @@ class Generator:
     acknowledgement: str
 
 
+def read_descriptions(spark: SparkSession, root: str) -> DataFrame:
+    """``dataset`` and ``document`` of every description file below ``root``; ``dataset`` is the folder it lies in, from there."""
+    files = spark.read.text(root, wholetext=True, pathGlobFilter=DESCRIPTION_FILE, recursiveFileLookup=True)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), f"/?{DESCRIPTION_FILE}$", "")
+    rest = F.regexp_replace(folder, "^[a-z]+:/*(?=/)", "")
+    start = F.lit("/" + root.partition("://")[2].partition("/")[2] if "://" in root else root.removeprefix("file:")).cast("string")
+    dataset = F.ltrim(F.substr(rest, F.length(F.rtrim(start, F.lit("/"))) + 1), F.lit("/"))
+    return files.select(F.when(dataset == "", ".").otherwise(dataset).alias("dataset"), F.col("value").alias("document"))
+
+
+def source_descriptions(documents: DataFrame, key: str = "dataset", column: str = "document") -> DataFrame:
+    """What a derivative copies from source descriptions: ``<key>, doi, license`` and ``odd``, the keys of another kind.
+
+    Documents are parsed once, as variants. A key that is absent or null gives null. A text is taken as it stands and a number as
+    its digits; a truth value, list or object gives null and is named in ``odd``. A document that is no JSON object has neither key; one
+    that is no JSON raises. A null document is a dataset without one.
+    """
+    parsed = documents.select(key, F.parse_json(F.col(column)).alias("v"))
+
+    def kind(name: str) -> Column:
+        return F.coalesce(F.schema_of_variant(F.variant_get("v", f"$.{name}", "variant")), F.lit("VOID"))
+
+    def usable(name: str) -> Column:
+        return (kind(name) == "STRING") | F.regexp_like(kind(name), F.lit("^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|DOUBLE|FLOAT)"))
+
+    taken = [F.when(usable(name), F.variant_get("v", f"$.{name}", "string")).alias(field) for field, name in SOURCE_KEYS.items()]
+    odd = [F.when(~usable(name) & (kind(name) != "VOID"), F.lit(name)) for name in SOURCE_KEYS.values()]
+    return parsed.select(key, *taken, F.array_compact(F.array(*odd)).alias("odd"))
+
+
 def provenance_docs(
     datasets: DataFrame,
     sources: DataFrame,

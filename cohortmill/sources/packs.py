@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -36,6 +37,8 @@ def row_bytes(df: DataFrame) -> Column:
 
 #: Partition columns of a pack.
 _FOLDERS = ("shards", "shard", "slice")
+# Hash ranges whose bytes are counted before packing; folders are never more.
+FINE = 1 << 16
 # Bits of a slice's number inside its piece of a folder; the highest of them marks a row alone.
 _SLICE_BITS = 40
 
@@ -57,7 +60,7 @@ def byte_slices(rows: DataFrame, size: str, group: Collection[str], order: Colle
 def pack(df: DataFrame, path: str, max_bytes: int = SLICE_BYTES) -> None:
     """Write a catalogue (with or without file contents) as bounded, sorted slices.
 
-    Subjects are hashed to folders, as many as there are slices, so small subjects share one. A folder of several times the
+    Subjects are hashed to about as many folders as there are slices, so small subjects share one. A folder of several times the
     bound, such as that of a subject with very many rows, is dealt into pieces by session and path. Inside a piece
     running sums of bytes cut the sorted rows into slices (:func:`byte_slices`), one file each, so a
     file stays below ``max_bytes`` unless one row alone is larger, whatever the sizes of rows. Folder count follows the data, not
@@ -65,13 +68,17 @@ def pack(df: DataFrame, path: str, max_bytes: int = SLICE_BYTES) -> None:
     a partition column, which lets readers prune without knowing it.
     """
     sized = df.withColumn("_bytes", row_bytes(df).cast("bigint"))
-    total = sized.agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("b")).first()["b"]
-    shards = max(1, -(-total // max_bytes))
-    cut = sized.withColumn("shards", F.lit(int(shards))).withColumn("shard", shard_of(F.col("subject"), F.col("shards")))
-    # At most one row for every two slices; Spark broadcasts it while it is small.
-    heavy = cut.groupBy(F.col("shard").alias("_heavy")).agg(F.ceil(F.sum("_bytes") / max_bytes).cast("bigint").alias("_pieces"))
-    heavy = materialise(heavy.filter("_pieces > 2"), "heavy")
-    cut = cut.join(heavy, F.col("shard") == F.col("_heavy"), "left")
+    # Bytes of fixed hash ranges of subjects, at most FINE of them and the dataset's own: what any power of two of folders holds.
+    fine = sized.groupBy(shard_of(F.col("subject"), F.lit(FINE)).alias("part")).agg(F.sum("_bytes").alias("b")).collect()
+    total = sum(r["b"] or 0 for r in fine)
+    shards = min(FINE, 1 << (max(1, -(-total // max_bytes)) - 1).bit_length())
+    held = Counter()
+    for r in fine:
+        held[-1 if r["part"] == -1 else r["part"] % shards] += r["b"] or 0
+    heavy = [(shard, -(-b // max_bytes)) for shard, b in held.items() if b > 2 * max_bytes]
+    pieces = df.sparkSession.createDataFrame(heavy, "_heavy int, _pieces long")
+    cut = sized.withColumn("shards", F.lit(shards)).withColumn("shard", shard_of(F.col("subject"), F.col("shards")))
+    cut = cut.join(F.broadcast(pieces) if len(heavy) <= MAX_BROADCAST_ROWS else pieces, F.col("shard") == F.col("_heavy"), "left")
     piece = F.pmod(F.xxhash64("session", "path"), F.coalesce("_pieces", F.lit(1)))
     cut = cut.withColumn("_piece", piece).drop("_heavy", "_pieces")
     order = ["subject", "session", "path"]

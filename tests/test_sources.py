@@ -177,6 +177,36 @@ def test_provenance_container(spark, docker, uri, container):
     assert "SourceDatasets" not in text and "License" not in text
 
 
+def test_source_descriptions_of_every_kind(spark, rows):
+    data = {
+        "both": ('{"DatasetDOI": "10.1/x", "License": "CC0", "Name": "n"}', "10.1/x", "CC0", []),
+        "absent": ('{"Name": "n"}', None, None, []),
+        "null": ('{"DatasetDOI": null, "License": null}', None, None, []),
+        "number": ('{"DatasetDOI": 10.5, "License": 7}', "10.5", "7", []),
+        "odd": ('{"DatasetDOI": ["10.1/x"], "License": {"a": 1}}', None, None, ["DatasetDOI", "License"]),
+        "truth": ('{"DatasetDOI": true, "License": ""}', None, "", ["DatasetDOI"]),
+        "nested": ('{"a": {"DatasetDOI": "x", "License": "y"}}', None, None, []),
+        "list": ('["DatasetDOI"]', None, None, []),
+        "text": ('"DatasetDOI"', None, None, []),
+        "none": (None, None, None, []),
+        "quotes": ('{"License": "a \\"b\\" \\u00e9"}', None, 'a "b" é', []),
+    }
+    df = spark.createDataFrame([(k, v[0]) for k, v in data.items()], "dataset string, document string")
+    got = documents.source_descriptions(df)
+    assert {r.dataset: (r.doi, r.license, r.odd) for r in got.collect()} == {k: v[1:] for k, v in data.items()}
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        documents.source_descriptions(spark.createDataFrame([("x", "{")], df.schema)).collect()
+
+
+def test_descriptions_are_read_from_their_folders(spark, tmp_path, rows):
+    for name, text in (("a/dataset_description.json", '{\n "License": "CC0"}'), ("b/c/dataset_description.json", "{}"), ("a/other.json", "x"), ("dataset_description.json", '{"License": "top"}')):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text(text)
+    for root in (str(tmp_path / "in"), f"file://{tmp_path}/in/"):
+        read = documents.source_descriptions(documents.read_descriptions(spark, root))
+        assert rows(read.select("dataset", "license")) == sorted([("a", "CC0"), ("b/c", None), (".", "top")], key=repr)
+
+
 def study(spark):
     data = [("01", "1", "T1w", 10), ("01", "1", "bold", 5), ("01", None, "T1w", 1), ("02", "1", "bold", 7)]
     return spark.createDataFrame(data, "subject string, session string, suffix string, size long")
