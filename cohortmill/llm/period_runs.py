@@ -38,12 +38,12 @@ MIN_PERIODS = 3
 BLOCK = 1 << 20
 
 
-def _grid(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _grid(sizes: np.ndarray, least: int, times: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Candidates of strings of these sizes, in blocks: number of the string, position, period."""
-    periods = np.where(sizes >= MIN_WORDS, sizes // MIN_PERIODS, 0)
+    periods = np.where(sizes >= least, sizes // times, 0)
     which = np.repeat(np.arange(len(sizes)), periods)
     q = np.arange(len(which)) - np.repeat(np.cumsum(periods) - periods, periods) + 1
-    gap = np.maximum(MIN_WORDS - q, (MIN_PERIODS - 1) * q)
+    gap = np.maximum(least - q, (times - 1) * q)
     counts = -(-(sizes[which] - q) // gap)
     ends = np.cumsum(counts)
     at = 0
@@ -56,8 +56,11 @@ def _grid(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         at = to
 
 
-def runs_of(texts: list[list[bytes]]) -> list[np.ndarray]:
-    """For each list of words the ``start, length, period`` of its runs, by start, then period."""
+def runs_of(texts: list, least: int = MIN_WORDS, times: int = MIN_PERIODS) -> list[np.ndarray]:
+    """For each list of words (or string of characters) the ``start, length, period`` of its runs, by start, then period.
+
+    A run has at least ``least`` words and ``times`` periods.
+    """
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     numbers = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(texts)))}
     words = np.fromiter(map(numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
@@ -70,7 +73,7 @@ def runs_of(texts: list[list[bytes]]) -> list[np.ndarray]:
     symbols[inside] = words
     symbols[parted] = len(numbers) + np.arange(len(parted))
     grammar, found = None, []
-    for which, at, q in _grid(sizes):
+    for which, at, q in _grid(sizes, least, times):
         i = base[which] + at
         met = np.flatnonzero(symbols[i] == symbols[i + q])
         if not len(met):
@@ -79,7 +82,7 @@ def runs_of(texts: list[list[bytes]]) -> list[np.ndarray]:
         which, i, q = which[met], i[met], q[met]
         start = i - grammar.extend_back(i - 1, i + q - 1)
         length = i + q + grammar.extend(i, i + q) - start
-        long = length >= np.maximum(MIN_WORDS, MIN_PERIODS * q)
+        long = length >= np.maximum(least, times * q)
         found.append(np.unique(np.stack([which, start - base[which], length, q])[:, long], axis=1))
     if not found:
         return [np.zeros((0, 3), np.int64)] * len(texts)

@@ -10,9 +10,9 @@ programming over end positions. A value that no base span touches and that costs
 The ranked words come from a vocabulary file, read on the driver; its size (the public file has
 some 30,000 words) is checked against ``MAX_WORDS`` before it is broadcast.
 
-Spans are in code points, end exclusive. Values are read whole; the pieces that the search
-compares with words, dates and walks are ``LONGEST`` characters at most, so its time grows in
-proportion to the value.
+Spans are in code points, end exclusive. Values are read whole. A word is at most as long as the vocabulary's
+longest; runs, walks and repeats may have any length. What is repeated is priced by a search of its
+own, wherever the best way up to it leads.
 
 Defined cases: a null or empty text has no spans; repeated rows each get theirs; extra columns
 are ignored; an empty table gives no rows. Of overlapping method values the first one counts.
@@ -29,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill.llm.period_runs import runs_of
 from cohortmill.llm.texts import read_table, small_batches
 
 MIN_LOG10 = 10.0
-LONGEST = 24
+# Longest date, and up to what length a value is searched for repeats by a pattern first.
+DATE, SHORT = 10, 64
 MAX_WORDS = 100_000
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -106,18 +108,43 @@ def _add_start(starts: list[tuple[float, int]], cost: float, end: int, least: in
     starts[:] = kept
 
 
-def guess_log10(value: str, words: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
+_SQUARE = re.compile(r"(.{2,})\1", re.DOTALL)
+
+
+def repeats_of(lower: str) -> dict[int, list[tuple[int, int, int]]]:
+    """Stretches ``(start, end, period)`` of two periods or more, none of one character, by the least end of two periods."""
+    out: dict[int, list[tuple[int, int, int]]] = {}
+    if len(lower) < 4 or (len(lower) <= SHORT and not _SQUARE.search(lower)):
+        return out
+    for start, length, period in runs_of([lower], least=4, times=2)[0].tolist():
+        if period > 1:
+            out.setdefault(start + 2 * period, []).append((start, start + length, period))
+    return out
+
+
+def longest_word(words: dict[str, int]) -> int:
+    return max(map(len, words), default=0)
+
+
+def guess_log10(value: str, words: dict[str, int], longest: int | None = None, limit: float = math.inf) -> tuple[float, list[tuple[str, int, int]]]:
     """Least log10 of guesses over all segmentations of ``value``, and the segmentation.
 
     A word costs its rank, times what its capitals and signs add; a date the days of 150 years; a
     repeat what is repeated, times how often; a walk its start, times turns and length; a
-    brute-force place the alphabet of the whole value. Each further piece doubles the cost.
+    brute-force place the alphabet of the whole value. Each further piece doubles the cost. From ``limit`` on
+    costs need not be the least; below they are.
     """
-    n, lower = len(value), value.lower()
-    if len(lower) != n:  # a few capitals grow when lowered
+    lower = value.lower()
+    if len(lower) != len(value):  # a few capitals grow when lowered
         lower = value
+    longest = longest_word(words) if longest is None else longest
+    return _least(value, lower, words, max(longest, DATE), math.log10(_cardinality(value)), limit, {})
+
+
+def _least(value: str, lower: str, words: dict[str, int], longest: int, place: float, limit: float, known: dict[str, float]) -> tuple[float, list[tuple[str, int, int]]]:
+    """:func:`guess_log10` of a part of a value, at ``place`` for a brute-force place; ``known`` are parts priced already."""
+    n = len(value)
     plain = lower.translate(_UNSIGN)
-    place = math.log10(_cardinality(value))
     best: list[float] = [0.0] + [math.inf] * n
     back: list[tuple[str, int]] = [("", 0)] * (n + 1)
     piece = math.log10(2)
@@ -129,6 +156,9 @@ def guess_log10(value: str, words: dict[str, int]) -> tuple[float, list[tuple[st
     # Starts inside the present walk and run that may still be the cheapest, with their cost there.
     walks: list[tuple[float, int]] = []
     runs: list[tuple[float, int]] = []
+    # Repeats that have begun, and of each the same by the place inside its period.
+    coming = repeats_of(lower)
+    repeats: list[tuple[int, int, int, dict[int, list[tuple[float, int]]]]] = []
     for end in range(1, n + 1):
         if end > 1:
             walk[end] = walk[end - 1] + 1 if _near(lower[end - 2], lower[end - 1]) else 1
@@ -150,7 +180,7 @@ def guess_log10(value: str, words: dict[str, int]) -> tuple[float, list[tuple[st
                 _add_start(starts, best[start] + (piece if start else 0.0) - each * start, end, least)
                 for _, start in starts:
                     offer(kind, start, first + math.log10(end - start) + each * (end - start))
-        for start in range(max(0, end - LONGEST), end - 2):
+        for start in range(max(0, end - longest), end - 2):
             text = plain[start:end]
             rank = words.get(text) or words.get(lower[start:end])
             if rank:
@@ -160,11 +190,24 @@ def guess_log10(value: str, words: dict[str, int]) -> tuple[float, list[tuple[st
                 signs = sum(a != b for a, b in zip(lower[start:end], text, strict=True)) if lower[start:end] not in words else 0
                 offer("word", start, math.log10(rank) + shape + math.log10(2) * signs)
             size = end - start
-            if 4 <= size <= 10 and lower[start].isdigit() and _DATE.match(lower, start, end):
+            if 4 <= size <= DATE and lower[start].isdigit() and _DATE.match(lower, start, end):
                 offer("date", start, math.log10(365 * 150 if size > 4 else 150))
-            # The second half repeats the first one.
-            if size >= 4 and size % 2 == 0 and lower[start : start + size // 2] == lower[start + size // 2 : end]:
-                offer("repeat", start, max(0.0, best[start + size // 2] - best[start]) + piece)
+        repeats += [(*x, {}) for x in coming.get(end, ())]
+        repeats = [x for x in repeats if x[1] >= end]
+        for _, _, period, phases in repeats:
+            start = end - 2 * period
+            starts = phases.setdefault(end % period, [])
+            before = best[start] + (piece if start else 0.0)
+            # What is repeated costs no less than what the best way gains over it.
+            if before + max(0.0, best[start + period] - before) < limit:
+                own = value[start : start + period]
+                if own not in known:
+                    known[own] = _least(own, lower[start : start + period], words, longest, place, limit, known)[0]
+                _add_start(starts, before + known[own], end, 2 * period)
+            for cost, start in starts:
+                total = cost + math.log10((end - start) // period)
+                if total < best[end]:
+                    best[end], back[end] = total, ("repeat", start)
     pieces, end = [], n
     while end:
         kind, start = back[end]
@@ -183,12 +226,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def added_spans(text: str, base: list[tuple[int, int, int]], words: dict[str, int]) -> list[tuple[int, int, int]]:
+def added_spans(text: str, base: list[tuple[int, int, int]], words: dict[str, int], longest: int | None = None) -> list[tuple[int, int, int]]:
     out = []
     for match in CONTEXT.finditer(text):
         start, end = match.span(1)
         end -= len(match[1]) - len(match[1].rstrip(".)]}!?:"))
-        if end - start >= 6 and not any(s < end and start < e for s, _, e in base) and guess_log10(text[start:end], words)[0] >= MIN_LOG10:
+        if end - start >= 6 and not any(s < end and start < e for s, _, e in base) and guess_log10(text[start:end], words, longest, MIN_LOG10)[0] >= MIN_LOG10:
             out.append((start, KINDS.index("guess"), end))
     return out
 
@@ -206,12 +249,13 @@ def find_secrets(docs: DataFrame, words: dict[str, int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranked = shared.value
+        longest = longest_word(ranked)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             found = []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text) if text else []
-                every = sorted(base + added_spans(text, base, ranked)) if text else []
+                every = sorted(base + added_spans(text, base, ranked, longest)) if text else []
                 found.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in every])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], names=["doc_id", "found"])
 

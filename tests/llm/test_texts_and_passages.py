@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from functools import cache
 
@@ -262,27 +263,66 @@ def test_guess_cost_is_the_least_over_segmentations():
         assert secrets.guess_log10(value, words)[0] == pytest.approx(brute_guesses(value, words))
 
 
-def brute_all_guesses(value, words):
-    """Least cost over all cuts into words, dates, repeats, walks from any start, and brute-force spans."""
-    place, best = math.log10(secrets._cardinality(value)), [0.0]
-    for end in range(1, len(value) + 1):
-        costs = []
-        for start in range(end):
-            own, more = value[start:end], best[start] + (math.log10(2) if start else 0.0)
-            size = end - start
-            costs.append(more + place * size)
-            if own in words:
-                costs.append(more + math.log10(words[own]))
-            if 4 <= size <= 10 and secrets._DATE.match(own):
-                costs.append(more + math.log10(365 * 150 if size > 4 else 150))
-            if size >= 3 and len(set(own)) == 1:
-                costs.append(more + place + math.log10(size))
-            if 4 <= size <= secrets.LONGEST and size % 2 == 0 and own[: size // 2] == own[size // 2 :]:
-                costs.append(more + max(0.0, best[start + size // 2] - best[start]) + math.log10(2))
-            if size >= 4 and all(secrets._near(a, b) for a, b in zip(own, own[1:], strict=False)):
-                costs.append(more + math.log10(len(secrets._SPOT)) + math.log10(size) + size / 3)
-        best.append(min(costs))
-    return best[-1]
+def brute_all_guesses(value, words, place=None):
+    """Least cost over all cuts into words, dates, repeats (what repeats is priced alone), walks from any start, and brute-force spans."""
+    place = math.log10(secrets._cardinality(value)) if place is None else place
+
+    @cache
+    def least(text):
+        best = [0.0]
+        for end in range(1, len(text) + 1):
+            costs = []
+            for start in range(end):
+                own, more = text[start:end], best[start] + (math.log10(2) if start else 0.0)
+                size = end - start
+                costs.append(more + place * size)
+                if own in words:
+                    costs.append(more + math.log10(words[own]))
+                if 4 <= size <= 10 and secrets._DATE.match(own):
+                    costs.append(more + math.log10(365 * 150 if size > 4 else 150))
+                if size >= 3 and len(set(own)) == 1:
+                    costs.append(more + place + math.log10(size))
+                for times in range(2, size // 2 + 1):
+                    if size % times == 0 and own[: size // times] * times == own:
+                        costs.append(more + least(own[: size // times]) + math.log10(times))
+                if size >= 4 and all(secrets._near(a, b) for a, b in zip(own, own[1:], strict=False)):
+                    costs.append(more + math.log10(len(secrets._SPOT)) + math.log10(size) + size / 3)
+            best.append(min(costs))
+        return best[-1]
+
+    return least(value)
+
+
+def test_repeats_of_any_length_cost_what_is_repeated():
+    words = secrets.words_of_vocabulary(secrets.vocabulary_path())
+    cost = lambda v: secrets.guess_log10(v, words)[0]
+    for half in ("nternational", "assword", "goldensunset1", "correcthorsebatterystaple9", "x7Kq9!zPw2vT4mB8nL1c"):
+        for times in (2, 3, 5):
+            place = math.log10(secrets._cardinality(half * times))
+            assert place == math.log10(secrets._cardinality(half))
+            assert cost(half * times) == pytest.approx(cost(half) + math.log10(times), abs=1e-9), half
+    # The best way into the first half may begin before it; the repeat is priced alone all the same.
+    assert cost("internationalnternational") > cost("nternational")
+    assert secrets.added_spans("pwd=goldensunset1goldensunset1", [], words) == []
+    assert secrets.guess_log10("x7Kq9!zPw2" * 3, words, limit=10.0)[0] >= 10.0
+
+
+def test_limit_changes_nothing_below_it():
+    words = {"password": 2, "summer": 40, "were": 30, "pop": 500}
+    rng = random.Random(5)
+    for _ in range(300):
+        value = "".join(rng.choice([*words, "fghj", "1999", "w", "e", "q", "7"]) for _ in range(rng.randint(1, 7))) * rng.randint(1, 3)
+        exact, bounded = secrets.guess_log10(value, words)[0], secrets.guess_log10(value, words, limit=6.0)[0]
+        assert bounded == exact if exact < 6.0 else bounded >= 6.0
+
+
+def test_very_long_values_end_soon():
+    words = secrets.words_of_vocabulary(secrets.vocabulary_path())
+    rng = random.Random(6)
+    for value in ("x" * 50_000, "ab" * 25_000, "".join(rng.choice("abcdefgh!%") for _ in range(50_000)), ("".join(rng.choice("ab!%") for _ in range(7000))) * 7):
+        started = time.perf_counter()
+        secrets.added_spans("pwd=" + value, [], words, secrets.longest_word(words))
+        assert time.perf_counter() - started < 30
 
 
 def test_guess_cost_with_walks_repeats_and_dates_is_the_least_over_segmentations():
