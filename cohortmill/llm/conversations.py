@@ -179,13 +179,14 @@ def _whole(out: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     """Repair of conversations that each fit into memory."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        memory: dict = {}
         for conv_id, own in _by_conversation(batches, ("turn", "role", "text", "absent")):
             turns = [row[:3] for row in own if not row[3]]
             faults, seen = Faults(), set()
             for turn, role, text in turns:
                 faults.see(turn, role, text, (role, text) in seen)
                 seen.add((role, text))
-            yield from _rows(conv_id, faults, repair_audit("".join(faults.codes)), turns, out)
+            yield from _rows(conv_id, faults, repair_audit("".join(faults.codes), memory), turns, out)
 
     return lambda batches: _batched(rows(batches), _SCHEMAS[out])
 
@@ -197,10 +198,11 @@ _PART_DDL = "conv_id bigint, task bigint, part bigint, told string"
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Up to ``LONG`` consecutive turns of a long conversation each: their counts, and audits between all states."""
     task = TaskContext.get().partitionId()
+    memory: dict = {}
 
     def told(faults: Faults) -> str:
         codes = "".join(faults.codes)
-        return json.dumps([{**vars(faults), "codes": []}, [fold(codes, entry) for entry in STATES]])
+        return json.dumps([{**vars(faults), "codes": []}, [fold(codes, entry, memory) for entry in STATES]])
 
     def rows() -> Iterator[tuple]:
         for conv_id, own in _by_conversation(batches, ("turn", "role", "text", "absent", "again", "often")):

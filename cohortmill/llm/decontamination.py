@@ -74,6 +74,13 @@ class Queries:
         self.owner_at = np.concatenate([[0], np.cumsum(np.bincount(inverse.ravel(), minlength=len(self.windows)))])
         self.ids = [i for i, _ in items]
 
+    @classmethod
+    def of(cls, state: dict) -> Queries:
+        """The object with these attributes, which travel as plain data."""
+        made = cls.__new__(cls)
+        vars(made).update(state)
+        return made
+
     def symbols_of(self, hashed: np.ndarray) -> np.ndarray:
         """Symbols of words by their hashes, 0 for words that no query holds."""
         if not len(self.vocabulary):
@@ -150,7 +157,7 @@ def _pass(queries, text: str, clean: bool):
     """A task's work: every batch's shards against one block of queries, adding to the state columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = queries.value
+        block = Queries.of(queries.value)
         for batch in batches:
             values = column_bytes(batch.column(text))
             spans_before = batch.column("hit_spans").to_pylist()
@@ -200,7 +207,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     kept = docs.drop(*clash).withColumns({n: F.lit(0).cast(t) if t == "bigint" else F.array().cast(t) for n, t in _STATE.items()})
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in kept.schema])
     for block, last in _blocks(benchmark, block_words):
-        shared = spark.sparkContext.broadcast(Queries(block, window))
+        shared = spark.sparkContext.broadcast(vars(Queries(block, window)))
         del block
         kept = kept.mapInArrow(_pass(shared, text, clean and last), schema)
         if not last:

@@ -16,7 +16,7 @@ of it. Repeated texts get equal results; an empty table gives no rows; extra col
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,13 +148,14 @@ def identify(docs: DataFrame, model: Model | None, lettered: bool = False) -> Da
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    # Plain data, so workers need nothing to read it.
+    shared = spark.sparkContext.broadcast(model and dict(vars(model)))
     kept = docs.drop("lang_pred", "score")
     names = [f.name for f in kept.schema]
     schema = kept.withColumns({"lang_pred": F.lit(None).cast("string"), "score": F.lit(None).cast("double")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared.value and Model(**shared.value)
         marks = np.zeros((BATCH, BINS), np.uint8)
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -178,11 +179,21 @@ def identify(docs: DataFrame, model: Model | None, lettered: bool = False) -> Da
     return kept.mapInArrow(run, schema)
 
 
-def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Rows whose text has a letter, also where no model is or the model calls them ``und``; the columns stay."""
+def accepted(docs: DataFrame, model: Model | None, wanted: Sequence[str] | None = None) -> DataFrame:
+    """Rows that have a letter and are in a wanted language, with their language named; the columns stay.
+
+    A missing ``lang`` becomes the predicted one, and with ``wanted`` texts predicted to be in another language go. Where no model
+    could be fitted, or where it was given ``und`` as a language, texts stay as they are.
+    """
     columns = docs.columns
     docs, back = set_aside(docs, "lang_pred", "score")
     known = identify(docs, model, lettered=True)
+    if model is not None:
+        told = F.when(F.col("lang_pred") != UNKNOWN, F.col("lang_pred"))
+        if wanted is not None:
+            known = known.where(told.isNull() | told.isin(list(wanted)))
+        if "lang" in columns:
+            known = known.withColumn("lang", F.coalesce("lang", told))
     return known.drop("lang_pred", "score").withColumnsRenamed(back).select(*columns)
 
 

@@ -19,8 +19,10 @@ Candidates of a table bucket are not paired with each other:
 
 Confirmation joins the pairs with both full sets and counts the intersection.
 
-Defined cases: no text or no words: set size 0, linked with nothing. Rows of one doc_id are one node. A null
-doc_id is linked with nothing, its component is null and it is kept. Extra columns are ignored.
+Defined cases: no text or no words: set size 0, linked with nothing. Rows of one doc_id and text are one node. A null
+doc_id is linked with nothing, its component is null and it is kept. Texts that share a doc_id have a row each; where that
+may happen, number the rows first, as :func:`without_near_duplicates` does: there every row is a document of its own, and
+rows without an id are compared like all others. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 
 from cohortmill.llm.components import components
 from cohortmill.llm.texts import NOT_BLANK, chunks, column_bytes, digest128, mix, read_table, segment_hashes, small_batches, words
+from cohortmill.operators.ordered import number_rows
 from cohortmill.session import materialise
 
 SHINGLE = 5
@@ -292,9 +295,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group, same columns."""
-    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """``docs`` with one row of each group, same columns: that of the least doc_id, of equal ids that of the least text hash.
+
+    Rows without an id come behind all others. Removals go by row: while every id is there once, ids name the
+    rows, else rows are numbered first.
+    """
+    columns = docs.columns
+    odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
+    if odd.isEmpty():
+        own, rows = docs.withColumn("_row", F.col("doc_id")), docs
+    else:
+        keyed = docs.withColumns({"_late": F.col("doc_id").isNull(), "_text_hash": F.xxhash64("text")}).withColumnRenamed("doc_id", "_own_id")
+        own = number_rows(keyed, ["_late", "_own_id", "_text_hash"]).withColumnsRenamed({"row_number": "_row", "_own_id": "doc_id"})
+        rows = own.select(F.col("_row").alias("doc_id"), "text")
+    gone = near_duplicates(rows, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    return own.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select(*columns)
 
 
 def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:

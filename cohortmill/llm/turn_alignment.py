@@ -19,10 +19,11 @@ ties right as well: of two audits of equal cost between the same ends, neither b
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import lru_cache
 
 DELETE, RENAME, INSERT, TRUNCATED = 2, 1, 5, 5
 SEGMENT = 8
+# Results a task remembers by their codes.
+REMEMBERED = 1 << 16
 
 #: States: nothing yet, behind a system turn, behind a user turn, behind an assistant turn; and where roles lead.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -42,11 +43,6 @@ def targets(entry: int, exit: int, length: int) -> list[str]:
     return [text for text, state in found if state == exit]
 
 
-@lru_cache(maxsize=1 << 12)
-def _targets(entry: int, exit: int, length: int) -> tuple[str, ...]:
-    return tuple(targets(entry, exit, length))
-
-
 def diagonal(turns: int, roles: int) -> int:
     """What so many turns against so many roles cost at least."""
     return DELETE * (turns - roles) if turns > roles else INSERT * (roles - turns)
@@ -114,17 +110,20 @@ def best_audits(codes: str, entry: int, exit: int) -> Audit | None:
     for length in sorted(range(longest + 1), key=lambda k: diagonal(usable, k)):
         if DELETE * forced + diagonal(usable, length) > limit:
             break
-        for target in _targets(entry, exit, length):
+        for target in targets(entry, exit, length):
             offer = align(codes, target, limit)
             if offer and (found is None or offer < found):
                 found, limit = offer, offer[0]
     return found
 
 
-@lru_cache(maxsize=1 << 16)
-def segment_audits(codes: str, entry: int) -> tuple[Audit | None, ...]:
+def segment_audits(codes: str, entry: int, memory: dict) -> tuple[Audit | None, ...]:
     """The best audit of one segment from ``entry`` to each state."""
-    return tuple(best_audits(codes, entry, exit) for exit in STATES)
+    if (codes, entry) not in memory:
+        if len(memory) >= REMEMBERED:
+            memory.clear()
+        memory[codes, entry] = tuple(best_audits(codes, entry, exit) for exit in STATES)
+    return memory[codes, entry]
 
 
 def add(before: list[Audit | None], own: Iterable[tuple[Audit | None, ...]]) -> list[Audit | None]:
@@ -146,21 +145,16 @@ def begin(entry: int) -> list[Audit | None]:
     return [(0, "") if state == entry else None for state in STATES]
 
 
-def fold(codes: str, entry: int = START) -> list[Audit | None]:
-    """Best audits from ``entry`` to each state over all of ``codes``, segment by segment."""
-    state = begin(entry)
+def fold(codes: str, entry: int = START, memory: dict | None = None) -> list[Audit | None]:
+    """Best audits from ``entry`` to each state over all of ``codes``, segment by segment; ``memory`` keeps those of segments."""
+    state, memory = begin(entry), {} if memory is None else memory
     for at in range(0, len(codes), SEGMENT):
         part = codes[at : at + SEGMENT]
-        state = add(state, [segment_audits(part, e) if state[e] is not None else (None,) * len(STATES) for e in STATES])
+        state = add(state, [segment_audits(part, e, memory) if state[e] is not None else (None,) * len(STATES) for e in STATES])
     return state
 
 
-@lru_cache(maxsize=1 << 16)
-def repair_audit(codes: str) -> Audit:
+def repair_audit(codes: str, memory: dict | None = None) -> Audit:
     """Cost and audit of the cheapest repair of a whole conversation."""
-    if len(codes) <= SEGMENT:
-        ends = [best_audits(codes, START, exit) for exit in FINAL]
-    else:
-        last = fold(codes)
-        ends = [last[exit] for exit in FINAL]
-    return min(x for x in ends if x is not None)
+    last = fold(codes, START, memory)
+    return min(x for x in (last[exit] for exit in FINAL) if x is not None)

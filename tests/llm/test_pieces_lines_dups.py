@@ -330,6 +330,19 @@ def test_one_of_each_group_stays(spark):
     assert near_dups.near_duplicates(no_docs(spark)).count() == 0
 
 
+def test_removals_go_by_row_where_ids_repeat_or_lack(spark):
+    rng = random.Random(21)
+    x, y, z = (sentence(rng, 60) for _ in range(3))
+    rows = [(1, x), (1, x), (3, y), (5, y), (5, z), (None, x), (None, x), (None, None), (None, None), (7, ""), (7, "")]
+    docs = spark.createDataFrame([(i, t, f"k{k}", "r", "h") for k, (i, t) in enumerate(rows)], "doc_id long, text string, key string, row_number string, n_rows string").repartition(4)
+    left = near_dups.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    want = [(1, x), (3, y), (5, z), (None, None), (None, None), (7, ""), (7, "")]
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(want)
+    nobody = spark.createDataFrame([(None, x), (None, x), (None, z)], "doc_id long, text string")
+    assert Counter(r.text for r in near_dups.without_near_duplicates(nobody).collect()) == Counter([x, z])
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (200, 150), (150, 160), (160, 200)]
     random.Random(1).shuffle(edges)
@@ -357,7 +370,7 @@ def test_run_equals_its_stages_one_by_one(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     # Every text of these tables has letters, so the first stage lets all pass.
     assert corpus_pipeline.languages(spark, docs, SF).count() == len(rows)
-    left = [(i, t, n, k) for (i, _), (t, n, k) in brute_lines(rows).items()]
+    left = [(i, t, n, k) for (i, _), (t, n, k) in brute_pieces(rows).items()]
     left = [(i, t) for i, t, n, k in left if not (k and k == n)]
     kept = {i for i, _, _, stays in brute_groups(left, 80) if stays}
     got = {r.doc_id for r in QUERIES["pipeline"](spark, SF).select("doc_id").collect()}

@@ -2,8 +2,11 @@
 
 import hashlib
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import time
 import zlib
 from functools import cache
@@ -109,7 +112,7 @@ def test_one_block_of_the_benchmark_at_a_time(spark, monkeypatch):
 
     def broadcast(context, value):
         out = made(context, value)
-        if isinstance(value, dc.Queries):
+        if isinstance(value, dict) and "windows" in value:
             held.add(id(out))
             most.append(len(held))
             monkeypatch.setattr(out, "destroy", lambda *a, end=out.destroy: (held.discard(id(out)), end(*a)))
@@ -421,3 +424,49 @@ def test_likeness_falls_with_the_share_of_common_text():
     mark = lambda t: fp.Parsed(t).fingerprint
     assert fp.likeness(mark(a), mark(a)) == 1.0 > fp.likeness(mark(a), mark(b)) > 0.6 > 0.1 > fp.likeness(mark(a), mark(c))
     assert fp.likeness(mark(""), mark("")) == 1.0 and fp.likeness(mark(""), mark(a)) == 0.0
+
+
+# --- workers without the package --------------------------------------------------
+
+
+ALONE = """
+import sys
+sys.path.insert(0, {repo!r})
+from cohortmill.session import build_session, send_package_by_value
+spark = build_session("local[2]", "alone", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": {folder!r}}})
+send_package_by_value()
+import public_tokenizers as P
+from cohortmill.llm import byte_bpe, conversations, decontamination, languages, period_runs, pieces
+docs = spark.createDataFrame([(i, f"some words of text number {{i}} " * 4, "en" if i % 2 else "de") for i in range(30)], "doc_id long, text string, lang string")
+bench = spark.createDataFrame([("a", "some words of text number 3")], "item_id string, text string")
+assert languages.identify(docs, languages.train(docs)).collect()
+assert decontamination.decontaminate(docs, bench).count() == 30
+assert pieces.decode_ids(pieces.encode_texts(docs, pieces.load_pieces(pieces.model_path())), pieces.load_pieces(pieces.model_path())).count() == 30
+ranks = byte_bpe.load_ranks(P.path("byte_bpe_50k.tiktoken"))
+assert byte_bpe.decode_bytes(byte_bpe.encode_bytes(docs, ranks, P.PATTERN), ranks).count() == 30
+assert period_runs.period_runs(docs).count() == 30
+turns = docs.selectExpr("doc_id as conv_id", "1L as turn", "'user' as role", "text")
+assert conversations.repair(turns).count() == 30
+print("all ran")
+"""
+
+
+def test_workers_need_no_package(tmp_path):
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "alone.py"
+    script.write_text(ALONE.format(repo=repo, folder=str(tmp_path / "shared")))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "all ran" in ran.stdout, ran.stderr[-3000:]
+
+
+def test_accepted_names_missing_languages_and_drops_others(spark):
+    rng = random.Random(3)
+    texts = {"aa": lambda: " ".join("".join(rng.choice("abcde") for _ in range(5)) for _ in range(30)), "zz": lambda: " ".join("".join(rng.choice("vwxyz") for _ in range(5)) for _ in range(30))}
+    rows = [(i, texts[lang](), lang if i % 3 else None) for i in range(120) for lang in [("aa", "zz")[i % 2]]] + [(500, "123", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = languages.train(docs)
+    got = {r.doc_id: r.lang for r in languages.accepted(docs, model).collect()}
+    assert got == {i: ("aa", "zz")[i % 2] for i in range(120)}
+    assert {r.doc_id for r in languages.accepted(docs, model, ["zz"]).collect()} == {i for i in range(120) if i % 2}
+    assert {r.doc_id: r.lang for r in languages.accepted(docs, None, ["zz"]).collect()} == {r[0]: r[2] for r in rows[:-1]}
