@@ -2,8 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)``; all but the last return the columns of documents.
 
-languages         texts without a letter go; nothing else does
-lines             repeated passages of lines go, and documents of which nothing is left
+languages         texts without a letter go, and those outside WANTED; a missing language is the predicted one
+lines             repeated passages go, by pieces of lines, and documents of which nothing is left
 near_duplicates   one document of each group stays (five words, 0.8 or more)
 decontamination   benchmark passages are cut out of texts
 pieces            texts become piece ids, with their next best segmentations
@@ -24,12 +24,16 @@ from cohortmill.llm.texts import read_table
 from cohortmill.session import materialise
 
 
+#: Languages that stay; None for all.
+WANTED: tuple[str, ...] | None = None
+
+
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return accepted(docs, train(docs))
+    return accepted(docs, train(docs), WANTED)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return deduplicated(docs)
+    return deduplicated(docs, cut=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
