@@ -175,6 +175,9 @@ ORACLES: dict[str, str] = {
     "s4_pack_s5_extract_all": STUDY_ROWS,
     "s6_extract_subjects": f"""WITH {SESSIONS}
         SELECT path, subject, session, size FROM study WHERE subject IN (SELECT subject FROM anat_subjects)""",
+    "s7_extract_masked": f"""WITH {STUDY}
+        SELECT path, subject, session, size FROM study
+        WHERE (path NOT LIKE 'sub-%' OR path LIKE 'sub-1%') AND NOT regexp_matches(path, '^sub-[^/]*/ses-[^/]*/anat(/.*)?$')""",
     "s7_extract_sessions": f"""WITH {SESSIONS},
         wanted AS (SELECT * FROM bold QUALIFY row_number() OVER (PARTITION BY subject ORDER BY session) <= 2)
         SELECT path, subject, session, size FROM study s

@@ -16,7 +16,7 @@ from cohortmill.operators import batches, derivatives, health, labels, ledgers,
 from cohortmill.plans.pending import pending_sessions
 from cohortmill.plans.staged import Stage, run_study
 from cohortmill.session import scratch_path
-from cohortmill.sources import catalogs, documents, ledger_store, listings, packs
+from cohortmill.sources import catalogs, documents, ledger_store, listings, masks, packs
 from cohortmill.sources.spec import DerivativeSpec, spec_read
 from cohortmill.streaming import completions, heartbeats as beats
 
@@ -121,6 +121,13 @@ def s7_extract_some_sessions(spark, sf):
     return chosen.select("path", "subject", "session", "size")
 
 
+@query
+def s7_extract_masked(spark, sf):
+    """Subjects whose names begin with 1, without their anatomical folders, by ordered rules."""
+    rules = [masks.exclude("sub-*"), masks.include("sub-1*"), masks.exclude("sub-*/ses-*/anat")]
+    return masks.extract_masked(spark, _packed(spark, sf), rules).select("path", "subject", "session", "size")
+
+
 @query
 def s4_pack_contents(spark, sf):
     """Files with their contents, packed and read back whole."""

@@ -36,7 +36,7 @@ def row_bytes(df: DataFrame) -> Column:
 
 
 #: Partition columns of a pack.
-_FOLDERS = ("shards", "shard", "slice")
+FOLDERS = ("shards", "shard", "slice")
 # Hash ranges whose bytes are counted before packing; folders are never more.
 FINE = 1 << 16
 # Bits of a slice's number inside its piece of a folder; the highest of them marks a row alone.
@@ -84,16 +84,16 @@ def pack(df: DataFrame, path: str, max_bytes: int = SLICE_BYTES) -> None:
     order = ["subject", "session", "path"]
     number = byte_slices(cut, "_bytes", ["shard", "_piece"], order, max_bytes)
     sliced = cut.withColumn("slice", F.shiftleft("_piece", _SLICE_BITS) + number).drop("_bytes", "_piece")
-    sliced.sortWithinPartitions(*_FOLDERS, *order).write.mode("overwrite").partitionBy(*_FOLDERS).parquet(path)
+    sliced.sortWithinPartitions(*FOLDERS, *order).write.mode("overwrite").partitionBy(*FOLDERS).parquet(path)
 
 
-def _open(spark: SparkSession, path: str) -> DataFrame:
+def open_pack(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
 def extract_all(spark: SparkSession, path: str) -> DataFrame:
     """Everything in a pack."""
-    return _open(spark, path).drop(*_FOLDERS)
+    return open_pack(spark, path).drop(*FOLDERS)
 
 
 def extract_subject(spark: SparkSession, path: str, subject: str) -> DataFrame:
@@ -101,10 +101,10 @@ def extract_subject(spark: SparkSession, path: str, subject: str) -> DataFrame:
 
     Prunes to the subject's folder and the dataset-level one, then to row groups.
     """
-    packed = _open(spark, path)
+    packed = open_pack(spark, path)
     folder = F.col("shard").isin(-1) | (F.col("shard") == shard_of(F.lit(subject), F.col("shards")))
     mine = (F.col("subject") == subject) | F.col("subject").isNull()
-    return packed.filter(folder & mine).drop(*_FOLDERS)
+    return packed.filter(folder & mine).drop(*FOLDERS)
 
 
 def extract_sessions(
@@ -134,10 +134,10 @@ def _read_wanted(spark: SparkSession, path: str, wanted: DataFrame, keys: Collec
     prunes folders by them at run time (it looks for a comparison on that side, hence the one that
     all rows pass); many wanted rows touch most folders anyway.
     """
-    packed = _open(spark, path)
+    packed = open_pack(spark, path)
     one = packed.select("shards").first()
     if one is None:
-        return packed.drop(*_FOLDERS)
+        return packed.drop(*FOLDERS)
     shared = wanted.sparkSession.range(1).select(*[F.lit(None).cast("string").alias(k) for k in keys])
     rows = wanted.select(*keys).unionByName(shared).distinct()
     rows = rows.select(shard_of(F.col("subject"), F.lit(one["shards"])).alias("w_shard"), *[F.col(k).alias(f"w_{k}") for k in keys])
@@ -147,7 +147,7 @@ def _read_wanted(spark: SparkSession, path: str, wanted: DataFrame, keys: Collec
     rows = materialise(rows, "wanted")
     few = rows.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
     rows = rows.filter("w_shard >= -1")
-    return packed.join(F.broadcast(rows) if few else rows, condition, "left_semi").drop(*_FOLDERS)
+    return packed.join(F.broadcast(rows) if few else rows, condition, "left_semi").drop(*FOLDERS)
 
 
 def extract_subjects(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
