@@ -300,16 +300,19 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFram
     Rows without an id come behind all others. Removals go by row: while every id is there once, ids name the
     rows, else rows are numbered first.
     """
-    columns = docs.columns
     odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
     if odd.isEmpty():
-        own, rows = docs.withColumn("_row", F.col("doc_id")), docs
-    else:
-        keyed = docs.withColumns({"_late": F.col("doc_id").isNull(), "_text_hash": F.xxhash64("text")}).withColumnRenamed("doc_id", "_own_id")
-        own = number_rows(keyed, ["_late", "_own_id", "_text_hash"]).withColumnsRenamed({"row_number": "_row", "_own_id": "doc_id"})
-        rows = own.select(F.col("_row").alias("doc_id"), "text")
-    gone = near_duplicates(rows, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return own.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select(*columns)
+        gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    # Other names while the rows are numbered, so none of the columns clashes.
+    aside = {name: f"_c{k}" for k, name in enumerate(docs.columns)}
+    own, text = F.col(aside["doc_id"]), F.col(aside["text"])
+    keyed = docs.toDF(*aside.values()).withColumns({"_late": own.isNull(), "_text_hash": F.xxhash64(text)})
+    rows = number_rows(keyed, ["_late", aside["doc_id"], "_text_hash"])
+    found = near_duplicates(rows.select(F.col("row_number").alias("doc_id"), text.alias("text")), percent)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    left = rows.join(gone, F.col("row_number") == F.col("_gone"), "left_anti")
+    return left.select(*[F.col(other).alias(name) for name, other in aside.items()])
 
 
 def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
