@@ -49,6 +49,15 @@ earlier AS (
   SELECT * FROM history WHERE ts < TIMESTAMP '2024-01-16 00:00:00'
   QUALIFY row_number() OVER (PARTITION BY task_name ORDER BY ts DESC, event_id DESC) = 1)"""
 
+TEXT_VERSIONS = """
+versions AS (
+  SELECT doc_id, was, CASE doc_id % 5
+           WHEN 1 THEN concat(substr(was, 1, length(was) // 3), doc_id, substr(was, length(was) // 3 + 1))
+           WHEN 2 THEN concat(substr(was, 1, length(was) // 2), substr(was, length(was) // 2 + 8))
+           WHEN 3 THEN concat(substr(was, length(was) // 2 + 1), substr(was, 1, length(was) // 2))
+           ELSE was END AS now
+  FROM (SELECT doc_id, coalesce(text, '') AS was FROM documents))"""
+
 DERIV = """
 subj AS (SELECT CAST(c_custkey AS VARCHAR) AS subject, c_custkey AS key FROM customer),
 q(k, base, suffix, descr, label) AS (VALUES
@@ -199,6 +208,38 @@ ORACLES: dict[str, str] = {
     "s8_sync_plan_back": f"""WITH {TARGET}
         SELECT t.path, t.size, 'changed' AS reason FROM target t JOIN study s ON t.path = s.path WHERE t.size <> s.size""",
     "s8_sync_plan_times": f"WITH {STUDY} SELECT path, size, 'changed' AS reason FROM study WHERE size % 17 = 0",
+    "s8_block_delta": f"""WITH RECURSIVE {TEXT_VERSIONS},
+        old AS (SELECT doc_id, hex(encode(was)) AS h FROM versions WHERE doc_id % 5 <> 4),
+        new AS (SELECT doc_id, hex(encode(now)) AS h, octet_length(encode(now)) AS n FROM versions WHERE doc_id % 5 = 4 OR was <> now),
+        parts AS (SELECT doc_id, unnest(range(0, (length(h) + 255) // 256)) AS block, h FROM old),
+        blocks AS (
+          SELECT doc_id, substr(h, 256 * block + 1, 256) AS part, list(block ORDER BY block) AS numbers FROM parts GROUP BY ALL),
+        windows AS (SELECT doc_id, place, substr(h, 2 * place + 1, 256) AS part FROM (SELECT doc_id, h, unnest(range(0, n)) AS place FROM new)),
+        hits AS MATERIALIZED (SELECT doc_id, place, length(part) // 2 AS size, numbers FROM windows JOIN blocks USING (doc_id, part)),
+        steps AS (
+          SELECT doc_id, 0 AS step, CAST(0 AS BIGINT) AS place, CAST(0 AS BIGINT) AS size, CAST(-1 AS BIGINT) AS block FROM new
+          UNION ALL
+          SELECT s.doc_id, s.step + 1, min(h.place), arg_min(h.size, h.place),
+                 arg_min(CASE WHEN list_contains(h.numbers, s.block + 1) THEN s.block + 1 ELSE h.numbers[1] END, h.place)
+          FROM steps s JOIN hits h ON h.doc_id = s.doc_id AND h.place >= s.place + s.size
+          GROUP BY s.doc_id, s.step, s.place, s.size, s.block),
+        copies AS (
+          SELECT *, lag(place + size, 1, -1) OVER w = place AND lag(block) OVER w + 1 = block AS goes_on FROM steps WHERE step > 0
+          WINDOW w AS (PARTITION BY doc_id ORDER BY step)),
+        runs AS (SELECT *, count(*) FILTER (NOT coalesce(goes_on, FALSE)) OVER (PARTITION BY doc_id ORDER BY step) AS run FROM copies),
+        copied AS (
+          SELECT doc_id, min(place) AS start, CAST(sum(size) AS BIGINT) AS length, 128 * min(block) AS target_start
+          FROM runs GROUP BY doc_id, run),
+        ends AS (SELECT doc_id, start, length FROM copied UNION ALL SELECT doc_id, n, 0 FROM new),
+        gaps AS (
+          SELECT doc_id, lag(start + length, 1, 0) OVER (PARTITION BY doc_id ORDER BY start, length DESC) AS start, start AS stop FROM ends),
+        literals AS (
+          SELECT doc_id, g.start, stop - g.start AS length, md5(unhex(substr(h, 2 * g.start + 1, 2 * (stop - g.start)))) AS data_md5
+          FROM gaps g JOIN new USING (doc_id) WHERE stop > g.start OR n = 0)
+        SELECT concat('texts/', doc_id) AS path, start, length, target_start, NULL AS data_md5 FROM copied
+        UNION ALL SELECT concat('texts/', doc_id), start, length, NULL, data_md5 FROM literals""",
+    "s8_apply_delta": f"""WITH {TEXT_VERSIONS}
+        SELECT concat('texts/', doc_id) AS path, sha256(now) AS sha256 FROM versions WHERE doc_id % 5 = 4 OR was <> now""",
     "s9_retire_scratch": f"""WITH {ITEMS},
         scratch AS (SELECT concat('func|', subject, '|', session) AS task_name, path, size FROM study
                     WHERE session IS NOT NULL)

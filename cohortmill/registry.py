@@ -12,7 +12,7 @@ from cohortmill import fixtures as fx
 from cohortmill.functions import tasks
 from cohortmill.functions.entities import parse_entities
 from cohortmill.functions.paths import normalise_path
-from cohortmill.operators import batches, derivatives, health, labels, ledgers, manifests, reports, studies
+from cohortmill.operators import batches, blocks, derivatives, health, labels, ledgers, manifests, reports, studies
 from cohortmill.plans.pending import pending_sessions
 from cohortmill.plans.staged import Stage, run_study
 from cohortmill.session import scratch_path
@@ -164,6 +164,34 @@ def s8_sync_plan_times(spark, sf):
     return manifests.sync_plan(files, files.withColumn("mtime", later)).select("path", "size", "reason")
 
 
+def _text_versions(spark, sf):
+    """The texts as files, and as they are after an edit; the last kind is new."""
+    doc, kind, text, n = F.col("doc_id"), F.col("doc_id") % 5, F.col("text"), F.length("text")
+    third, half = (n / 3).cast("int"), (n / 2).cast("int")
+    inserted = F.concat(F.substring(text, F.lit(1), third), doc.cast("string"), F.substring(text, third + 1, n))
+    cut = F.concat(F.substring(text, F.lit(1), half), F.substring(text, half + 8, n))
+    turned = F.concat(F.substring(text, half + 1, n), F.substring(text, F.lit(1), half))
+    after = F.when(kind == 1, inserted).when(kind == 2, cut).when(kind == 3, turned).otherwise(text)
+    docs = fx.table(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    path = F.concat(F.lit("texts/"), doc.cast("string")).alias("path")
+    old = docs.filter(kind != 4).select(path, F.col("text").cast("binary").alias("content"))
+    return old, docs.select(path, after.cast("binary").alias("content"))
+
+
+@query
+def s8_block_delta(spark, sf):
+    old, new = _text_versions(spark, sf)
+    delta = blocks.block_delta(new, blocks.block_signatures(old, 128), 128)
+    return delta.select("path", "start", "length", "target_start", F.md5("data").alias("data_md5"))
+
+
+@query
+def s8_apply_delta(spark, sf):
+    old, new = _text_versions(spark, sf)
+    made = blocks.apply_delta(old, blocks.block_delta(new, blocks.block_signatures(old)))
+    return made.select("path", F.sha2("content", 256).alias("sha256"))
+
+
 def _scratch(spark, sf):
     files = fx.study(spark, sf).filter("session IS NOT NULL")
     return files.select(
