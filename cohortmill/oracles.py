@@ -214,7 +214,10 @@ ORACLES: dict[str, str] = {
         parts AS (SELECT doc_id, unnest(range(0, (length(h) + 255) // 256)) AS block, h FROM old),
         blocks AS (
           SELECT doc_id, substr(h, 256 * block + 1, 256) AS part, list(block ORDER BY block) AS numbers FROM parts GROUP BY ALL),
-        windows AS (SELECT doc_id, place, substr(h, 2 * place + 1, 256) AS part FROM (SELECT doc_id, h, unnest(range(0, n)) AS place FROM new)),
+        pieces AS (SELECT doc_id, n, base, substr(h, 2 * base + 1, 2048 + 256) AS piece FROM (SELECT *, unnest(range(0, n, 1024)) AS base FROM new)),
+        windows AS (
+          SELECT doc_id, place, substr(piece, 2 * (place - base) + 1, 256) AS part
+          FROM (SELECT *, unnest(range(base, least(base + 1024, n))) AS place FROM pieces)),
         hits AS MATERIALIZED (SELECT doc_id, place, length(part) // 2 AS size, numbers FROM windows JOIN blocks USING (doc_id, part)),
         steps AS (
           SELECT doc_id, 0 AS step, CAST(0 AS BIGINT) AS place, CAST(0 AS BIGINT) AS size, CAST(-1 AS BIGINT) AS block FROM new
@@ -248,6 +251,10 @@ ORACLES: dict[str, str] = {
         scratch AS (SELECT concat('func|', subject, '|', session) AS task_name, path, size FROM study
                     WHERE session IS NOT NULL)
         SELECT * FROM scratch WHERE task_name NOT IN (SELECT task_name FROM done WHERE did_succeed)""",
+    "s9_retire_in_place": f"""WITH {ITEMS},
+        scratch AS (SELECT concat('func|', subject, '|', session) AS task_name, path, size FROM study
+                    WHERE session IS NOT NULL)
+        SELECT * FROM scratch WHERE task_name NOT IN (SELECT task_name FROM done WHERE did_succeed)""",
     "s10_ledger_csv": f"""WITH {LEDGER_SESSIONS}
         SELECT task_name, did_succeed, CAST(return_code AS INTEGER) AS return_code FROM done""",
     "s11_ledger_record": f"{LATEST} FROM latest",

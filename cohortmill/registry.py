@@ -16,7 +16,7 @@ from cohortmill.operators import batches, blocks, derivatives, health, labels, l
 from cohortmill.plans.pending import pending_sessions
 from cohortmill.plans.staged import Stage, run_study
 from cohortmill.session import scratch_path
-from cohortmill.sources import catalogs, documents, ledger_store, listings, masks, packs
+from cohortmill.sources import catalogs, documents, ledger_store, listings, masks, packs, scratch
 from cohortmill.sources.spec import DerivativeSpec, spec_read
 from cohortmill.streaming import completions, heartbeats as beats
 
@@ -211,6 +211,15 @@ def s9_keep_scratch(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def s9_retire_in_place(spark, sf):
+    """What stays in a store after the folders of finished items were replaced."""
+    path = scratch_path(spark, "scratch-store")
+    scratch.scratch_write(_scratch(spark, sf), path, folders=16)
+    scratch.scratch_retire(spark, path, fx.ledger_sessions(spark, sf))
+    return scratch.scratch_read(spark, path)
+
+
 @query
 def s10_ledger_csv(spark, sf):
     path = scratch_path(spark, "ledger-csv")
