@@ -34,8 +34,10 @@ WINDOW = 3
 PIECE = 16
 SHORTEST = 8
 _BLANKS = " \t\r"
-_LONG = rf"(?:\S++\s++){{{PIECE}}}\S"
-_SENTENCES = rf"(?:\S++\s++){{{SHORTEST - 1},{PIECE - 1}}}?\S++(?<=[.!?…][\"')\]»”]?)(?:\s++|\z)"
+# Anchored and possessive, so that each line is read once, also one without any blank.
+_LONG = rf"\A\s*+(?:\S++\s++){{{PIECE}}}+\S"
+_SENTENCE_GOES_ON = r"\S++(?<![.!?…])(?<![.!?…][\"')\]»”])\s++"
+_SENTENCES = rf"(?:\S++\s++){{{SHORTEST - 1}}}+(?:{_SENTENCE_GOES_ON}){{0,{PIECE - SHORTEST}}}+\S++(?:\s++|\z)"
 _PIECES = rf"\s*+(?:{_SENTENCES}|(?:\S++(?:\s++|\z)){{1,{PIECE}}}+)|\s++"
 #: Start of the window that is a whole document.
 _WHOLE = -1
@@ -47,10 +49,12 @@ def _pieces(line: Column) -> Column:
 
 
 def _windows(docs: DataFrame, whole: bool, cut: bool) -> DataFrame:
-    """``doc_id``, ``_text`` (hash of the text), ``at``, ``k1``, ``k2`` of every window."""
+    """``doc_id``, ``_text`` (hash of the text), ``at``, ``k1``, ``k2`` of every window; with ``whole`` also ``size``, the document's lines."""
     lines = F.split("text", "\n")
     lines = F.transform(F.flatten(F.transform(lines, _pieces)) if cut else lines, lambda line: F.btrim(line, F.lit(_BLANKS)))
-    hashed = docs.select("doc_id", F.xxhash64("text").alias("_text"), lines.alias("lines")).where(F.size("lines") >= (1 if whole else WINDOW))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("_text"), lines.alias("lines"), "text")
+    # Every text has a line, so with ``whole`` no line is made for the filter.
+    hashed = hashed.where(F.col("text").isNotNull() if whole else F.size("lines") >= WINDOW)
     hashed = hashed.select(
         "doc_id",
         "_text",
@@ -76,33 +80,48 @@ def _windows(docs: DataFrame, whole: bool, cut: bool) -> DataFrame:
         own = [F.filter(h, lambda _, at: F.get("full", at)) for h in ("h1", "h2")]
         every = F.struct(F.lit(_WHOLE).alias("at"), *[F.xxhash64(F.lit("whole"), h).alias(k) for h, k in zip(own, ("k1", "k2"), strict=True)], F.lit(True).alias("full"))
         made = F.when(F.size(F.filter("full", lambda full: full)).between(1, WINDOW - 1), F.array_append(made, every)).otherwise(made)
-    exploded = hashed.select("doc_id", "_text", F.explode(made).alias("w")).where("w.full")
-    return exploded.select("doc_id", "_text", "w.at", "w.k1", "w.k2")
+    size = [F.size("h1").alias("size")] if whole else []
+    exploded = hashed.select("doc_id", "_text", *size, F.explode(made).alias("w")).where("w.full")
+    return exploded.select("doc_id", "_text", *(["size"] if whole else []), "w.at", "w.k1", "w.k2")
 
 
 def repeated_lines(docs: DataFrame, whole: bool = False, cut: bool = False) -> DataFrame:
-    """``doc_id``, ``_text`` and ``starts``, the starts of windows that repeat an earlier one."""
+    """``doc_id``, ``_text`` and ``starts``, the starts of windows that repeat an earlier one; with ``whole`` also ``size``."""
     windows = _windows(docs, whole, cut)
     place = F.struct("doc_id", "_text", "at")
     firsts = windows.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     firsts = firsts.select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), "first")
     later = windows.join(firsts, (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2"))).where(~place.eqNullSafe(F.col("first")))
     # As many starts as the document has lines, at most.
-    return later.groupBy("doc_id", "_text").agg(F.collect_set("at").alias("starts"))
+    size = [F.max("size").alias("size")] if whole else []
+    return later.groupBy("doc_id", "_text").agg(F.collect_set("at").alias("starts"), *size)
 
 
-def remove_repeated_lines(docs: DataFrame, whole: bool = False, cut: bool = False) -> DataFrame:
+def _covered(starts: Column) -> Column:
+    """Positions of all lines in the windows at ``starts``, some more than once."""
+    return F.flatten(F.transform(starts, lambda at: F.array(*[at + k for k in range(WINDOW)])))
+
+
+def remove_repeated_lines(docs: DataFrame, whole: bool = False, cut: bool = False, emptied: bool = True) -> DataFrame:
     """``docs`` without covered lines, with ``n_lines`` and ``n_removed``; columns of these names are replaced.
 
-    With ``cut`` pieces of lines are compared, removed and counted.
+    With ``cut`` pieces of lines are compared, removed and counted. Without ``emptied``, which needs ``whole``,
+    documents of which nothing is left go; the windows say which, before any text is taken apart.
     """
-    found = repeated_lines(docs, whole, cut).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_of"), F.col("starts").alias("_starts"))
+    found = repeated_lines(docs, whole, cut)
+    if not emptied:
+        found = found.withColumn("_gone", F.array_contains("starts", _WHOLE) | (F.size(F.array_distinct(_covered(F.col("starts")))) == F.col("size")))
+    found = found.drop("size").withColumnsRenamed({"doc_id": "_id", "_text": "_of", "starts": "_starts"})
     kept = docs.drop("n_lines", "n_removed")
     matched = kept.join(found, kept["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64("text") == F.col("_of")), "left")
-    lines = F.split("text", "\n")
+    if not emptied:
+        matched = matched.where(~F.coalesce("_gone", F.lit(False)))
+    lines = every_line = F.split("text", "\n")
     if cut:
-        lines = F.flatten(F.transform(lines, lambda line, at: F.transform(_pieces(line), lambda piece: F.struct(at.alias("line"), piece.alias("piece")))))
-    covered = F.flatten(F.transform("_starts", lambda at: F.array(*[at + k for k in range(WINDOW)])))
+        every_line = F.flatten(F.transform(lines, lambda line, at: F.transform(_pieces(line), lambda piece: F.struct(at.alias("line"), piece.alias("piece")))))
+        # Only where some go: pieces cost more than all the rest here.
+        lines = F.when(F.col("_starts").isNotNull(), every_line)
+    covered = _covered(F.col("_starts"))
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
     stay = F.when(F.array_contains("_starts", _WHOLE), F.array().cast("array<int>")).otherwise(F.array_except(every, covered))
     made = matched.withColumn("_lines", lines).withColumn("_stay", stay)
@@ -118,7 +137,7 @@ def remove_repeated_lines(docs: DataFrame, whole: bool = False, cut: bool = Fals
         left = F.array_join(F.transform("_stay", lambda at: F.get("_lines", at)), "\n")
     made = made.withColumns(
         {
-            "n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
+            "n_lines": F.coalesce(F.when(F.col("_starts").isNull(), F.size(every_line)).otherwise(F.size("_lines")) if cut else F.size("_lines"), F.lit(0)).cast("long"),
             "n_removed": F.when(F.col("_starts").isNotNull(), F.size("_lines") - F.size("_stay")).otherwise(0).cast("long"),
             "_left": F.when(F.col("_starts").isNotNull(), left).otherwise(F.col("text")),
         }
@@ -132,11 +151,10 @@ def deduplicated(docs: DataFrame, cut: bool = False) -> DataFrame:
     """``docs`` with repeated passages and short documents removed, same columns; documents of which nothing is left go."""
     columns = docs.columns
     docs, back = set_aside(docs, "n_lines", "n_removed")
-    made = remove_repeated_lines(docs, whole=True, cut=cut)
+    made = remove_repeated_lines(docs, whole=True, cut=cut, emptied=False)
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    gone = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))
-    return made.where(~gone).drop("n_lines", "n_removed").withColumnsRenamed(back).select(*columns)
+    return made.drop("n_lines", "n_removed").withColumnsRenamed(back).select(*columns)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

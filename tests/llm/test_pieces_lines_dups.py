@@ -253,6 +253,23 @@ def test_short_documents_and_long_lines_that_repeat_go(spark):
     assert sum(long in t for t in left.values()) <= 1
 
 
+def test_what_is_left_of_documents_equals_brute_force_and_emptied_ones_go(spark):
+    rows = piece_rows()
+    want = brute_pieces(rows)
+    left = line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cut=True).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted(((i, want[i, t][0]) for i, t in rows if not 0 < want[i, t][2] == want[i, t][1]), key=repr)
+
+
+def test_lines_without_any_blank_take_time_in_proportion(spark):
+    words = " ".join(f"w{k}" for k in range(100_000))
+    rows = [(0, "x" * 1_000_000), (1, "y" * 1_000_000 + " z. " * 40), (2, words), (3, f"before\n{words}"), (4, "\u00e4" * 500_000 + "\n" + " " * 500_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    began = time.monotonic()
+    left = {r.doc_id: r.text for r in line_dedup.deduplicated(docs, cut=True).collect()}
+    assert time.monotonic() - began < 60
+    assert left[0] == rows[0][1] and left[2] == rows[2][1] and left[4] == rows[4][1] and left[3] == "before"
+
+
 # --- near duplicates ------------------------------------------------------------
 
 
