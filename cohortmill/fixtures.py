@@ -56,7 +56,9 @@ def study_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("_run-"), F.col("run").cast("string"),
         F.lit("_"), F.col("suffix"), F.lit(".nii.gz"),
     )
-    return files.select(name.alias("path"), "size", "mtime")
+    # Generated rows end an expression: parsed parts and filters on them read the finished path, once per file, and
+    # do not move below the grouping as copies of its text.
+    return files.select(F.inline(F.array(F.struct(name.alias("path")))), "size", "mtime")
 
 
 # Where keep_study has stored the catalogue of a folder of tables.

@@ -6,16 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortmill.session import MAX_BROADCAST_ROWS, materialise
+from cohortmill.session import MAX_BROADCAST_ROWS, materialise, worker_partitions
 from cohortmill.sources.spec import DerivativeSpec
 
 
 def expand_spaces(subjects: DataFrame, spec: DerivativeSpec, spaces: Sequence[str], surfaces: bool = False) -> DataFrame:
     """Each subject with every (query, space) row of the specification.
 
-    The specification is a constant array exploded in place: no join, no shuffle.
+    The specification is a constant array exploded in place: no join. Only the subjects' ids are dealt out
+    first, as a few MB of them, which Spark reads in one task, become dozens of files each.
     """
-    return subjects.select("subject", F.inline(spec.item_column(spaces, surfaces)))
+    ids = subjects.select("subject")
+    dealt = ids if ids.isStreaming else ids.repartition(worker_partitions(ids.sparkSession))
+    return dealt.select("subject", F.inline(spec.item_column(spaces, surfaces)))
 
 
 def derivative_path(subject: Column, folder: Column, tail: Column) -> Column:
@@ -99,7 +102,8 @@ def resolve_with_fallback(expected: DataFrame, found: DataFrame) -> DataFrame:
     """Expected files with the path found: exact, else without ``.gz``, else null.
 
     Found files fold to one row per name without ``.gz``, so one join answers both
-    questions.
+    questions. The join is a merge of sorted files: sizes are guessed from what the paths were
+    made of, often a small list of subjects, and must not send a study's files through the driver.
     """
     stem = F.regexp_replace("path", r"\.gz$", "")
     zipped = F.endswith(F.col("path"), F.lit(".gz"))
@@ -110,7 +114,7 @@ def resolve_with_fallback(expected: DataFrame, found: DataFrame) -> DataFrame:
     resolved = F.when(zipped, F.coalesce("as_gz", "as_plain")).otherwise(F.col("as_plain"))
     return (
         expected.withColumn("stem", stem)
-        .join(have, "stem", "left")
+        .join(have.hint("merge"), "stem", "left")
         .withColumn("resolved", resolved)
         .withColumn("found", F.col("resolved").isNotNull())
         .drop("stem", "as_gz", "as_plain")
@@ -123,9 +127,11 @@ def found_units(
     """Files that answer a unit of the specification: ``subject, unit, grp, name, space, path``.
 
     Baseline outputs and transforms are any files with the right name parts, at subject or
-    session level; surface outputs are the expected paths, with or without ``.gz``.
+    session level; surface outputs are the expected paths, with or without ``.gz``. Subjects may be
+    millions, more than guessed from their file, so they meet the files in partitions and are not broadcast.
     """
-    found = match_derivatives(catalog, spec, spaces).join(subjects.select("subject"), "subject", "left_semi")
+    asked = subjects.select("subject").hint("shuffle_hash")
+    found = match_derivatives(catalog, spec, spaces).join(asked, "subject", "left_semi")
     if not surfaces:
         return found
     expected = predict_derivatives(subjects, spec, spaces, surfaces=True).filter("grp = 'surfaces'")
@@ -146,7 +152,8 @@ def derivatives_complete(
     part = F.when(F.col("grp") == "surfaces", F.col("path"))
     have = found.select("subject", "unit", part.alias("part")).distinct().groupBy("subject").agg(F.count(F.lit(1)).alias("n"))
     complete = F.coalesce(F.col("n") == needed, F.lit(needed == 0))
-    return subjects.select("subject").distinct().join(have, "subject", "left").select("subject", complete.alias("complete"))
+    joined = subjects.select("subject").distinct().join(have.hint("merge"), "subject", "left")
+    return joined.select("subject", complete.alias("complete"))
 
 
 def derivative_cache(

@@ -158,3 +158,27 @@ def test_spec_read_of_the_default(spark):
     assert got[("std_xfms", "anat2std_xfm", "to")] == []
     assert got[("surfaces", "t1w_aseg", "desc")] == ["aseg"]
     assert len(got) == sum(len(q) for g in DEFAULT_SPEC["queries"].values() for q in g.values())
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_of_subjects_are_not_broadcast(spark):
+    """Sizes are guessed from the list of subjects; its files are dozens of times as many."""
+    ids = subjects(spark, "01", "02")
+    found = d.predict_derivatives(ids, SPEC, [SPACE], surfaces=True).select("path")
+    resolved = d.resolve_with_fallback(d.predict_derivatives(ids, SPEC, [SPACE], surfaces=True), found)
+    units = d.found_units(ids, parse_entities(found), SPEC, [SPACE], surfaces=True)
+    complete = d.derivatives_complete(ids, units, SPEC, [SPACE], surfaces=True)
+    assert "Broadcast" not in plan_of(resolved)
+    assert plan_of(units).count("BroadcastHashJoin") == 1  # the specification
+    assert plan_of(complete).count("BroadcastHashJoin") == 1
+    assert [r.complete for r in complete.collect()] == [True, True]
+
+
+def test_one_task_of_subjects_becomes_many_tasks_of_files(spark):
+    ids = spark.range(100, numPartitions=1).select(F.col("id").cast("string").alias("subject"))
+    items = d.expand_spaces(ids, SPEC, [SPACE])
+    assert items.count() == 100 * len(SPEC.items([SPACE]))
+    assert items.select(F.spark_partition_id()).distinct().count() > 1
