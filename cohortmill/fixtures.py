@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortmill.functions.entities import parse_entities
+from cohortmill.functions.paths import finished
 from cohortmill.operators.derivatives import derivative_path, expand_spaces
 from cohortmill.operators.ledgers import latest_record
 from cohortmill.session import scratch_path
@@ -56,9 +57,7 @@ def study_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("_run-"), F.col("run").cast("string"),
         F.lit("_"), F.col("suffix"), F.lit(".nii.gz"),
     )
-    # Generated rows end an expression: parsed parts and filters on them read the finished path, once per file, and
-    # do not move below the grouping as copies of its text.
-    return files.select(F.inline(F.array(F.struct(name.alias("path")))), "size", "mtime")
+    return files.select(finished(name), "size", "mtime")
 
 
 # Where keep_study has stored the catalogue of a folder of tables.
@@ -148,8 +147,7 @@ def found_derivatives(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) ->
     path = derivative_path(F.col("subject"), F.col("folder"), F.col("tail"))
     there = F.when(turn % 5 == 0, F.regexp_replace(path, r"\.gz$", "")).otherwise(path)
     found = expand_spaces(deriv_subjects(spark, sf_dir), spec, SPACES).filter(turn % 7 != 0)
-    # As in study_files: parsed parts read the finished path instead of repeating its text.
-    return found.select(F.inline(F.array(F.struct(there.alias("path")))))
+    return found.select(finished(there))
 
 
 def placed_derivatives(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) -> DataFrame:
@@ -158,7 +156,7 @@ def placed_derivatives(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) -
     session = F.regexp_replace("path", "^(sub-[^/]+)/anat/sub-[^_]+", "$1/ses-1/anat/$1_ses-1")
     run = F.regexp_replace("path", "(/sub-[^_/]+)_", "$1_run-1_")
     path = F.when(number % 4 == 1, session).when(number % 4 == 2, run).otherwise(F.col("path"))
-    return found_derivatives(spark, sf_dir, spec).select(F.inline(F.array(F.struct(path.alias("path")))))
+    return found_derivatives(spark, sf_dir, spec).select(finished(path))
 
 
 def found_surfaces(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) -> DataFrame:
@@ -166,7 +164,7 @@ def found_surfaces(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) -> Da
     items = expand_spaces(deriv_subjects(spark, sf_dir), spec, SPACES, surfaces=True)
     there = ~((F.col("subject").cast("bigint") % 3 == 0) & F.contains("tail", F.lit("_hemi-R_pial")))
     path = derivative_path(F.col("subject"), F.col("folder"), F.col("tail"))
-    return items.filter(there).select(F.inline(F.array(F.struct(path.alias("path")))))
+    return items.filter(there).select(finished(path))
 
 
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,15 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def finished(path: Column) -> Column:
+    """``path`` as a generated column of that name, made once per row.
+
+    Name parts and filters on it read the finished text. Spark would otherwise copy the expression that makes
+    it into each of them, and move those copies before joins and groupings.
+    """
+    return F.inline(F.array(F.struct(path.alias("path"))))
+
+
 def expand_variables(path: Column, variables: Mapping[str, str]) -> Column:
     """Replace ``$NAME`` and ``${NAME}``; names outside the mapping stay as they are.
 

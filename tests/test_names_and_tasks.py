@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortmill.functions import tasks
 from cohortmill.functions.entities import parse_entities
-from cohortmill.functions.paths import is_ignored, normalise_path
+from cohortmill.functions.paths import finished, is_ignored, normalise_path
 from cohortmill.operators.manifests import ROLES, manifest_passes, path_rules, validate_manifest
 
 
@@ -153,3 +153,13 @@ def test_manifest_rules(spark, rows):
     assert rows(manifest_passes(df, path_rules())) == [(6, False)]
     assert rows(manifest_passes(df.filter("path IN ('d', 'e')"), path_rules())) == [(0, True)]
     assert rows(manifest_passes(df.limit(0), path_rules())) == [(0, True)]
+
+
+def test_a_finished_path_is_not_copied_into_what_reads_it(spark):
+    """Filters on name parts stay above the grouping that makes the path and read its text."""
+    made = F.concat(F.lit("sub-"), F.col("k").cast("string"), F.lit("_run-1_bold.nii.gz"))
+    grouped = spark.range(6).select((F.col("id") % 3).alias("k")).groupBy("k").count()
+    parsed = parse_entities(grouped.select(finished(made), "count"))
+    asked = parsed.filter("suffix = 'bold' AND subject IS NOT NULL").select("subject", "run", "count")
+    assert asked._jdf.queryExecution().optimizedPlan().toString().count("_run-1_bold") == 1
+    assert sorted(tuple(r) for r in asked.collect()) == [("0", "1", 2), ("1", "1", 2), ("2", "1", 2)]
