@@ -87,7 +87,8 @@ def run_stage(
     Readers of the ledger see every outcome within about a second of its item's end, from the stage's journal in the store;
     at the end of the stage one commit takes its place. A lost stage goes on from its journal.
     """
-    named = name_items(items, name, keys) if keys else items.withColumn("task_name", F.lit(name))
+    # Written once, as what runs and who survives are both asked of the items.
+    named = materialise(name_items(items, name, keys), f"named-{name}") if keys else items.withColumn("task_name", F.lit(name))
     ledger = ledger_current(spark, ledger_path)
     arguments = list(stage.arguments if stage.arguments is not None else keys)
     run, token = next_run(spark, ledger_path), uuid.uuid4().hex
@@ -142,11 +143,13 @@ def run_study(
     Each stage is one job whose outcomes are written before the next is planned; the
     gates are the only rows read on the driver. A ``manifest`` of probed paths must pass its
     rules before anything runs. With ``filters_path`` the filter documents of the sessions that
-    got through the anatomical stage are written there before a session stage reads them.
+    got through the anatomical stage are written there before a session stage reads them. What the stages
+    ask of the catalogue is written once, as every one of them reads it again.
     """
     run = StudyRun()
     if manifest is not None and not manifest_passes(manifest, path_rules()).first()["passes"]:
         raise StudyStopped("validate")
+    catalog = materialise(catalog.select("subject", "session", "suffix"), "catalogue")
     passed = materialise(subjects(catalog), "subjects")
     if passed.isEmpty():
         raise StudyStopped("discover")
