@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortmill import fixtures as fx
 from cohortmill.functions import tasks
 from cohortmill.functions.entities import parse_entities
-from cohortmill.functions.paths import normalise_path
+from cohortmill.functions.paths import finished, normalise_path
 from cohortmill.operators import batches, blocks, derivatives, health, labels, ledgers, manifests, reports, studies
 from cohortmill.plans.pending import pending_sessions
 from cohortmill.plans.staged import Stage, run_study
-from cohortmill.session import scratch_path
+from cohortmill.session import materialise, scratch_path
 from cohortmill.sources import catalogs, documents, ledger_store, listings, masks, packs, scratch
+from cohortmill.sources.journal import file_system
 from cohortmill.sources.spec import DerivativeSpec, spec_read
 from cohortmill.streaming import completions, heartbeats as beats
 
@@ -81,10 +82,14 @@ def m2_listed_sessions(spark, sf):
     return listings.listed_sessions(listings.parse_listing(text))
 
 
-def _packed(spark, sf) -> str:
+def _catalogue(spark, sf) -> DataFrame:
+    """The study stored once, for queries whose jobs read it several times."""
+    return materialise(fx.study(spark, sf).select("path", "size", "mtime", "subject", "session", "suffix"), "study")
+
+
+def _packed(spark, sf, catalog: DataFrame | None = None) -> str:
     path = scratch_path(spark, "pack")
-    files = fx.study(spark, sf).select("path", "size", "mtime", "subject", "session", "suffix")
-    packs.pack(files, path, max_bytes=1 << 20)
+    packs.pack(_catalogue(spark, sf) if catalog is None else catalog, path, max_bytes=1 << 20)
     return path
 
 
@@ -95,29 +100,33 @@ def s4_pack_s5_extract_all(spark, sf):
 
 @query
 def s6_extract_subjects(spark, sf):
-    wanted = studies.subjects(fx.study(spark, sf))
-    return packs.extract_subjects(spark, _packed(spark, sf), wanted).select("path", "subject", "session", "size")
+    catalog = _catalogue(spark, sf)
+    wanted = studies.subjects(catalog)
+    return packs.extract_subjects(spark, _packed(spark, sf, catalog), wanted).select("path", "subject", "session", "size")
 
 
 @query
 def s7_extract_sessions(spark, sf):
-    path = _packed(spark, sf)
-    wanted = studies.first_k_sessions(studies.sessions(fx.study(spark, sf)), 2)
+    catalog = _catalogue(spark, sf)
+    path = _packed(spark, sf, catalog)
+    wanted = studies.first_k_sessions(studies.sessions(catalog), 2)
     return packs.extract_many(spark, path, wanted).select("path", "subject", "session", "size")
 
 
 @query
 def s6_extract_subject(spark, sf):
-    first = studies.subjects(fx.study(spark, sf)).agg(F.min("subject")).first()[0]
-    return packs.extract_subject(spark, _packed(spark, sf), first).select("path", "subject", "session", "size")
+    catalog = _catalogue(spark, sf)
+    first = studies.subjects(catalog).agg(F.min("subject")).first()[0]
+    return packs.extract_subject(spark, _packed(spark, sf, catalog), first).select("path", "subject", "session", "size")
 
 
 @query
 def s7_extract_some_sessions(spark, sf):
     """The first and last functional session of the subject that comes first."""
-    have = studies.sessions(fx.study(spark, sf)).groupBy("subject").agg(F.min("session").alias("a"), F.max("session").alias("b"))
+    catalog = _catalogue(spark, sf)
+    have = studies.sessions(catalog).groupBy("subject").agg(F.min("session").alias("a"), F.max("session").alias("b"))
     one = have.orderBy("subject").first()
-    chosen = packs.extract_sessions(spark, _packed(spark, sf), one["subject"], {one["a"], one["b"]})
+    chosen = packs.extract_sessions(spark, _packed(spark, sf, catalog), one["subject"], {one["a"], one["b"]})
     return chosen.select("path", "subject", "session", "size")
 
 
@@ -310,7 +319,7 @@ def mixed_files(spark, sf):
         .when(run == "6", F.concat(F.lit("mylogs/"), path))
         .otherwise(path)
     )
-    return fx.study(spark, sf).select(other.alias("path"))
+    return fx.study(spark, sf).select(finished(other))
 
 
 @query
@@ -798,17 +807,19 @@ def u2_run_once(spark, sf):
 def u3_cleanup_marks(spark, sf):
     """Marks that the clean-up of every subject left in the shared folder, read back as rows."""
     folder = scratch_path(spark, "marks")
+    system, path = file_system(folder)
+    system.create_dir(path, recursive=True)
 
     def leave(did_succeed: bool, subject: str) -> None:
-        system, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
-        system.create_dir(path, recursive=True)
-        with system.open_output_stream(f"{path}/{subject}.txt") as out:
+        system, path = file_system(folder)
+        # One file per attempt of a task, so files do not grow in number with the subjects.
+        with system.open_append_stream(f"{path}/{TaskContext.get().taskAttemptId()}.txt") as out:
             out.write(f"{subject},{did_succeed}\n".encode())
 
     subjects = batches.name_items(studies.subjects(fx.study(spark, sf)), "anat", ["subject"])
     nothing = ledger_store.ledger_current(spark, scratch_path(spark, "ledger"))
     batches.apply_batch(subjects, nothing, check_subject, ["subject"], leave)
-    return spark.read.schema("subject string, did_succeed boolean").csv(folder)
+    return spark.read.schema("subject string, did_succeed boolean").csv(folder).dropDuplicates(["subject"])
 
 
 @query
