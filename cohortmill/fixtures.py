@@ -6,6 +6,8 @@ computed from the tables at whatever scale they have.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortmill.functions.entities import parse_entities
@@ -141,8 +143,8 @@ def found_derivatives(spark: SparkSession, sf_dir: str, spec: DerivativeSpec) ->
     The number of the query in the specification decides which are.
     """
     names = list(dict.fromkeys(n for g in ("baseline", "std_xfms") for n in spec.queries[g]))
-    base = F.regexp_replace("name", "^(t1w|std)_", "")
-    k = F.array_position(F.array(*[F.lit(n) for n in names]), base).cast("int") - 1
+    outputs = {i["name"]: names.index(re.sub("^(t1w|std)_", "", i["name"])) for i in spec.items(SPACES)}
+    k = F.element_at(F.create_map(*[F.lit(x) for pair in outputs.items() for x in pair]), F.col("name"))
     turn = F.col("subject").cast("bigint") + k
     path = derivative_path(F.col("subject"), F.col("folder"), F.col("tail"))
     there = F.when(turn % 5 == 0, F.regexp_replace(path, r"\.gz$", "")).otherwise(path)

@@ -41,8 +41,13 @@ def datatype_of(path: Column) -> Column:
 
 
 def entity_of(path: Column, key: str) -> Column:
-    """The value of ``_key-value`` in the file name; null when absent."""
-    return _part(path, rf"_{key}-([^/_.]+)[^/]*$")
+    """The value of ``_key-value`` in the file name; null when absent.
+
+    Most names lack most keys, so the pattern only runs where the key stands, and once.
+    """
+    name = _file_name(path)
+    values = F.regexp_extract_all(name, F.lit(rf"_{key}-([^_.]+)"), F.lit(1))
+    return F.when(F.contains(name, F.lit(f"_{key}-")), F.get(values, F.lit(0)))
 
 
 def suffix_of(path: Column) -> Column:

@@ -37,6 +37,19 @@ def test_parse_entities_golden(spark):
     assert got[paths[6]]["suffix"] is None and got[paths[6]]["extension"] is None
 
 
+def test_name_parts_equal_the_pattern_over_the_whole_path(spark):
+    paths = [
+        "sub-1_space-A/anat/sub-1_T1w.nii", "sub-1_space-A/sub-1_space-B_T1w.nii", "a_space-/b", "a_space-_space-C_x.nii",
+        "_space-.x_space-D", "a_space-A_space-B.nii", "sub-1_space-A/", "a_xspace-A_T1w", "_space-A\n", "", "/", None,
+    ]
+    frame = parse_entities(spark.createDataFrame([(p,) for p in paths], "path string"))
+    whole = F.nullif(F.regexp_extract("path", r"_space-([^/_.]+)[^/]*$", 1), F.lit(""))
+    got = frame.select("path", "space", whole.alias("whole"))
+    assert [(r.path, r.space) for r in got.collect()] == [(r.path, r.whole) for r in got.collect()]
+    plan = frame.select("path", "space")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(path" not in plan and "CASE WHEN Contains" in plan  # it runs only where the key stands
+
+
 ids = st.text("ab019", min_size=1, max_size=4)
 parts = st.fixed_dictionaries(
     {"subject": ids, "suffix": st.sampled_from(["T1w", "bold", "xfm"]), "extension": st.sampled_from(["nii", "nii.gz"])},
