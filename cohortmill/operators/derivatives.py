@@ -86,11 +86,11 @@ def match_derivatives(
     )
     hemi = F.when(F.col("q_hemi").isNotNull(), F.array("q_hemi"))
     condition = (
-        (F.col("suffix") == F.col("q_suffix"))
+        F.col("suffix").eqNullSafe(F.col("q_suffix"))
         & F.col("desc").eqNullSafe(F.col("q_desc"))
         & F.col("label").eqNullSafe(F.col("q_label"))
         & ((F.col("grp") == "std_xfms") | F.col("space").eqNullSafe(F.col("q_space")))
-        & F.array_contains("extensions", F.col("extension"))
+        & F.coalesce(F.array_contains("extensions", F.col("extension")), F.lit(False))
         & transform_matches(F.col("q_mode"), F.col("q_from"), F.col("q_to"), hemi)
     )
     return catalog.join(F.broadcast(queries) if small else queries, condition).select(

@@ -182,3 +182,15 @@ def test_one_task_of_subjects_becomes_many_tasks_of_files(spark):
     items = d.expand_spaces(ids, SPEC, [SPACE])
     assert items.count() == 100 * len(SPEC.items([SPACE]))
     assert items.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_name_parts_are_not_read_again_by_a_filter_below_the_match(spark):
+    matched = d.match_derivatives(parse_entities(paths_of(spark, GOLDEN_PATHS)), SPEC, [SPACE])
+    filters = [line for line in plan_of(matched).splitlines() if "Filter" in line and "substring_index" in line]
+    assert not filters
+    assert matched.count() == len(GOLDEN_PATHS)
+
+
+def test_files_without_suffix_or_extension_match_nothing(spark):
+    names = ["sub-01/anat/sub-01_desc-preproc_T1w", "sub-01/anat/sub-01_desc-preproc.nii.gz", "x", "", None]
+    assert d.match_derivatives(parse_entities(paths_of(spark, names)), SPEC, [SPACE]).count() == 0
