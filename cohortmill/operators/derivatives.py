@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -9,6 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cohortmill.session import MAX_BROADCAST_ROWS, materialise, worker_partitions
 from cohortmill.sources.spec import DerivativeSpec
 
+# Units a bigint can mark without its sign.
+UNIT_BITS = 63
+
 
 def expand_spaces(subjects: DataFrame, spec: DerivativeSpec, spaces: Sequence[str], surfaces: bool = False) -> DataFrame:
     """Each subject with every (query, space) row of the specification.
@@ -129,9 +134,11 @@ def found_units(
     Baseline outputs and transforms are any files with the right name parts, at subject or
     session level; surface outputs are the expected paths, with or without ``.gz``. Subjects may be
     millions, more than guessed from their file, so they meet the files in partitions and are not broadcast.
+    Only matched files are moved for that: a generated row keeps Spark from moving the catalogue with all its name parts.
     """
     asked = subjects.select("subject").hint("shuffle_hash")
-    found = match_derivatives(catalog, spec, spaces).join(asked, "subject", "left_semi")
+    matched = match_derivatives(catalog, spec, spaces)
+    found = matched.select(F.inline(F.array(F.struct(*matched.columns)))).join(asked, "subject", "left_semi")
     if not surfaces:
         return found
     expected = predict_derivatives(subjects, spec, spaces, surfaces=True).filter("grp = 'surfaces'")
@@ -144,16 +151,26 @@ def derivatives_complete(
 ) -> DataFrame:
     """Per subject whether every required unit has a file in ``found``.
 
-    A unit with several files needs one of them, a surface unit all of them. What a subject
-    needs is a number known from the specification, so one count per subject decides.
+    A unit with several files needs one of them, a surface unit all of them. What a subject needs is a
+    number known from the specification. Units that need one file are bits, which fold before any
+    exchange; only files of surfaces are told apart by path.
     """
     items = spec.items(spaces, surfaces)
     needed = len({(i["unit"], i["tail"] if i["need_all"] else None) for i in items})
-    part = F.when(F.col("grp") == "surfaces", F.col("path"))
-    have = found.select("subject", "unit", part.alias("part")).distinct().groupBy("subject").agg(F.count(F.lit(1)).alias("n"))
-    complete = F.coalesce(F.col("n") == needed, F.lit(needed == 0))
+    units = 1 + max((i["unit"] for i in items if not i["need_all"]), default=0)
+    unit = F.col("unit")
+    parts = {}
+    for first in range(0, units, UNIT_BITS):
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), unit - first)
+        here = (unit >= first) & (unit < min(first + UNIT_BITS, units))
+        parts[f"units_{first}"] = F.bit_count(F.bit_or(F.when(here, bit)))
+    if surfaces:
+        file = F.when(F.col("grp") == "surfaces", F.struct("unit", "path"))
+        parts["files"] = F.count_distinct(file)
+    have = found.groupBy("subject").agg(*[part.alias(name) for name, part in parts.items()])
+    n = functools.reduce(operator.add, [F.coalesce(F.col(name), F.lit(0)) for name in parts])
     joined = subjects.select("subject").distinct().join(have.hint("merge"), "subject", "left")
-    return joined.select("subject", complete.alias("complete"))
+    return joined.select("subject", (n == needed).alias("complete"))
 
 
 def derivative_cache(

@@ -194,3 +194,32 @@ def test_name_parts_are_not_read_again_by_a_filter_below_the_match(spark):
 def test_files_without_suffix_or_extension_match_nothing(spark):
     names = ["sub-01/anat/sub-01_desc-preproc_T1w", "sub-01/anat/sub-01_desc-preproc.nii.gz", "x", "", None]
     assert d.match_derivatives(parse_entities(paths_of(spark, names)), SPEC, [SPACE]).count() == 0
+
+
+def test_files_are_matched_before_they_meet_the_subjects(spark):
+    units = plan_of(found_among(spark, ["01"], GOLDEN_PATHS, [SPACE]))
+    assert units.index("ShuffledHashJoin") < units.index("BroadcastHashJoin")  # the match lies below, on the files as they are read
+
+
+def test_units_of_a_subject_fold_before_an_exchange(spark, tmp_path):
+    found_among(spark, ["01"], GOLDEN_PATHS, [SPACE]).write.parquet(f"{tmp_path}/found")
+    found = spark.read.parquet(f"{tmp_path}/found")
+    complete = d.derivatives_complete(subjects(spark, "01"), found, SPEC, [SPACE])
+    assert plan_of(complete).count("Exchange hashpartitioning") == 2  # the subjects and one row each
+
+
+@pytest.mark.parametrize("missing", ["nothing", "space-S0_desc-brain", "space-S19_dseg", "from-T1w_to-S19"])
+def test_more_units_than_bits_of_a_number(spark, missing):
+    spaces = [f"S{i}" for i in range(20)]
+    expected = d.predict_derivatives(subjects(spark, "01"), SPEC, spaces)
+    assert max(i["unit"] for i in SPEC.items(spaces)) > 2 * d.UNIT_BITS - 4
+    have = [r.path for r in expected.collect() if missing not in r.path]
+    found = found_among(spark, ["01"], [*have, *have], spaces)
+    got = d.derivatives_complete(subjects(spark, "01", "01", "02"), found, SPEC, spaces)
+    assert {r.subject: r.complete for r in got.collect()} == {"01": missing == "nothing", "02": False}
+
+
+def test_no_units_asked_is_complete(spark, rows):
+    nothing = DerivativeSpec.load(queries={"baseline": {}, "std_xfms": {}, "surfaces": {}})
+    found = found_among(spark, [], [], [])
+    assert rows(d.derivatives_complete(subjects(spark, "01"), found, nothing, [])) == [("01", True)]
