@@ -179,7 +179,7 @@ def derivative_cache(
     """Outputs of the complete subjects in long form ``subject, name, space, path``.
 
     The requested spaces are listed under the name ``template``. ``found`` is written once, as both
-    the decision and the outputs read it.
+    the decision and the outputs read it; complete subjects are held by hash, so its files are not sorted.
     """
     found = materialise(found, "found")
     complete = derivatives_complete(subjects, found, spec, spaces, surfaces).filter("complete").select("subject")
@@ -189,7 +189,7 @@ def derivative_cache(
         F.explode(F.array(*[F.lit(s) for s in spaces]).cast("array<string>")).alias("space"),
         F.lit(None).cast("string").alias("path"),
     )
-    outputs = found.select("subject", "name", "space", "path").join(complete, "subject", "left_semi")
+    outputs = found.select("subject", "name", "space", "path").join(complete.hint("shuffle_hash"), "subject", "left_semi")
     return outputs.unionByName(templates)
 
 

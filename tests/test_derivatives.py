@@ -223,3 +223,11 @@ def test_no_units_asked_is_complete(spark, rows):
     nothing = DerivativeSpec.load(queries={"baseline": {}, "std_xfms": {}, "surfaces": {}})
     found = found_among(spark, [], [], [])
     assert rows(d.derivatives_complete(subjects(spark, "01"), found, nothing, [])) == [("01", True)]
+
+
+def test_files_of_complete_subjects_are_not_sorted(spark, rows):
+    ids = subjects(spark, "01", "02")
+    cache = d.derivative_cache(ids, found_among(spark, ["01", "02"], GOLDEN_PATHS, [SPACE]), SPEC, [SPACE])
+    semi = [line for line in plan_of(cache).splitlines() if "LeftSemi" in line]
+    assert semi and all("ShuffledHashJoin" in line for line in semi)
+    assert len(rows(cache)) == len(GOLDEN_PATHS) + 1
