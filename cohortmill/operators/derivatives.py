@@ -179,10 +179,12 @@ def derivative_cache(
     """Outputs of the complete subjects in long form ``subject, name, space, path``.
 
     The requested spaces are listed under the name ``template``. ``found`` is written once, as both
-    the decision and the outputs read it; complete subjects are held by hash, so its files are not sorted.
+    the decision and the outputs read it, and so are the complete subjects: beside the files their decision would be left
+    to a task or two. They are held by hash, so the files are not sorted.
     """
     found = materialise(found, "found")
-    complete = derivatives_complete(subjects, found, spec, spaces, surfaces).filter("complete").select("subject")
+    decided = derivatives_complete(subjects, found, spec, spaces, surfaces)
+    complete = materialise(decided.filter("complete").select("subject"), "complete")
     templates = complete.select(
         "subject",
         F.lit("template").alias("name"),

@@ -231,3 +231,11 @@ def test_files_of_complete_subjects_are_not_sorted(spark, rows):
     semi = [line for line in plan_of(cache).splitlines() if "LeftSemi" in line]
     assert semi and all("ShuffledHashJoin" in line for line in semi)
     assert len(rows(cache)) == len(GOLDEN_PATHS) + 1
+
+
+def test_subjects_are_decided_on_once_and_apart_from_the_files(spark):
+    ids = subjects(spark, "01", "02")
+    cache = d.derivative_cache(ids, found_among(spark, ["01", "02"], GOLDEN_PATHS, [SPACE]), SPEC, [SPACE])
+    plan = plan_of(d.derivative_maps(cache))
+    assert "bit_or" not in plan and "SortMergeJoin" not in plan
+    assert d.derivative_maps(cache).first().outputs["template"] == [SPACE]
